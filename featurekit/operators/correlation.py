@@ -73,3 +73,14 @@ class CorrelationPruner(Stage):
         dropped = (pairs.where(F.abs("corr") > F.lit(self.threshold))
                    .select("j", "col_j").distinct().orderBy("j").collect())
         return ColumnsModel([r["col_j"] for r in dropped], "drop")
+
+
+def pruning_decisions(df: DataFrame, threshold: float, cols: list[str] | None = None) -> DataFrame:
+    """``(col_pos, col_name, dropped)`` for every column: the pruner's decision as a lazy DataFrame."""
+    cols = list(df.columns) if cols is None else list(cols)
+    pairs = correlation_pairs(df, cols)
+    hits = pairs.groupBy("j").agg(F.max(F.coalesce(F.abs("corr") > F.lit(threshold), F.lit(False))).alias("hit"))
+    spark = df.sparkSession
+    names = spark.createDataFrame([(k, c) for k, c in enumerate(cols)], "col_pos int, col_name string")
+    return names.join(hits, names["col_pos"] == hits["j"], "left").select(
+        "col_pos", "col_name", F.coalesce(F.col("hit"), F.lit(False)).alias("dropped"))
