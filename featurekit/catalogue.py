@@ -262,3 +262,61 @@ def flagship(spark, d):
     df = src.passenger_like(spark, d)
     _, test, _ = sp.prepare(df, "y", passenger_like_recipe(), "o_orderkey", SPLIT_SEED, 0.2)
     return ev.threshold_sweep(test, THRESHOLDS_19, "y", "c_mktsegment")
+
+
+# ---------------------------------------------------------------- O18-O20 recipes, O26, O28
+def _prepared(df, chain, label, key):
+    train, test, _ = sp.prepare(df, label, chain, key, SPLIT_SEED, 0.2)
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
+def recipe_a(spark, d):
+    from featurekit.plans.recipes import passenger_like_recipe
+
+    out = _prepared(src.passenger_like(spark, d), passenger_like_recipe(), "y", "o_orderkey")
+    return _r6(out, ["o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal"])
+
+
+def recipe_b(spark, d):
+    from featurekit.plans.recipes import customer_like_recipe
+
+    out = _prepared(src.customer_like(spark, d), customer_like_recipe(), "y", "event_id")
+    return _r6(out, ["event_type", "user_bucket", "value"])
+
+
+def recipe_c(spark, d):
+    from featurekit.plans.recipes import homerun_like_recipe
+
+    out = _prepared(src.homerun_like(spark, d), homerun_like_recipe(), "y", "doc_id")
+    return _r6(out, ["lang", "source", "n_chars"])
+
+
+def split_scan(spark, d):
+    from featurekit.plans.recipes import homerun_like_recipe
+    from featurekit.plans.search import split_stability
+
+    best, res = split_stability(src.homerun_like(spark, d), "y", "doc_id", homerun_like_recipe(), seeds=range(3),
+                                features=["lang", "source", "n_chars"])
+    return _r6(res.withColumn("chosen", F.col("seed") == F.lit(best)), ["train_f1", "test_f1", "ratio"])
+
+
+def halving(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+
+    from featurekit.plans.search import halving_search
+
+    s = src.scored_documents(spark, d).select("doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
+                                              "score")
+    grid = {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]}
+    res, _, _ = halving_search(s, "quality", "doc_id", ["n_chars", "score"],
+                               lambda p: LogisticRegression(maxIter=50, **p), grid)
+    return res.select("rung", "candidate_id", "params", "n_rows", "survived")
+
+
+QUERIES.update({
+    "recipe_a": recipe_a,
+    "recipe_b": recipe_b,
+    "recipe_c": recipe_c,
+    "split_scan": split_scan,
+    "halving": halving,
+})
