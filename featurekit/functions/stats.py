@@ -100,5 +100,6 @@ def exact_quantiles(df: DataFrame, column: Column, probs: list[float], *,
             F.element_at(F.array_sort(F.collect_list("x")), F.lit(i1 - below + 1)).alias("b"),
         ).first()
         a, b = vals["a"], vals["b"]
-        out.append(a + (b - a) * (r - i0))
+        # same interpolation form as Spark's percentile, so both modes agree to the last bit
+        out.append(a if i1 == i0 else (i1 - r) * a + (r - i0) * b)
     return out
