@@ -141,7 +141,8 @@ class FeatureChain(Stage):
     def _fit(self, df: DataFrame) -> FeatureChainModel:
         models: list[StageModel] = []
         current = df
-        for group, _ in self._groups():
+        groups = self._groups()
+        for gi, (group, _) in enumerate(groups):
             # Stateless members sit in the group only when the fitted members do not touch their
             # columns, so applying them first leaves every fit unchanged.
             frame = current
@@ -156,6 +157,7 @@ class FeatureChain(Stage):
             for s in group:
                 m = by_stage[id(s)]
                 models.append(m)
-                current = m.transform(current)
+                if gi < len(groups) - 1:       # the last group's output is not needed for fitting
+                    current = m.transform(current)
             log.info("fitted group of %d stage(s)", len(group))
         return FeatureChainModel(models)
