@@ -18,14 +18,14 @@ from featurekit.operators import (CorrelationPruner, DropColumns, KeepColumns, K
 from featurekit.operators.correlation import pruning_decisions
 from featurekit.plans import evaluate as ev
 from featurekit.plans import split as sp
+from featurekit.plans.recipes import EVENT_MAP as EVENT_MAP_RECIPE  # noqa: F401
+from featurekit.plans.recipes import STATUS_MAP  # noqa: F401
 from featurekit.sources import tables as src
 
 # Fixed values of the fixtures (FIXTURES.md): mappings, thresholds, seeds.
 PRIORITY_MAP = {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED": 3}
 COVERAGE_MAP = {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED": 3, "X-NONE": 9}
 SWAP_MAP = {"A": "R", "R": "A"}
-STATUS_MAP = {"F": 0, "O": 1, "P": 2}
-EVENT_MAP = {"click": 0, "view": 1, "purchase": 2, "signup": 3}
 THRESHOLDS_19 = [i / 18.0 for i in range(19)]
 THRESHOLDS_21 = [i / 20.0 for i in range(21)]
 SPLIT_SEED = 107

@@ -252,4 +252,116 @@ WITH e AS ({emb}),
          ORDER BY sqrt({float(dims)}::DOUBLE / {dims} * ({ss})), d.vec_id) AS rn FROM e q, e d)
 SELECT e.vec_id, e.y, CAST(avg(r.dy) > 0.5 AS INTEGER) AS prediction FROM r JOIN e ON e.vec_id = r.qk
 WHERE r.rn <= 5 GROUP BY e.vec_id, e.y"""
+    sql.update(recipe_sql())
     return sql
+
+
+# ------------------------------------------------------------------ recipes (O18-O20 shapes)
+def _knn_generic(prelude: str, points: str, rows: str, key: str, feats: list[str], keep: list[str],
+                 k: int = 5, extra: list[str] = ()) -> str:
+    """Uniform k-NN imputation in SQL over relations with columns (key, feats..., keep..., extra...).
+
+    ``points`` are the fit rows (donors), ``rows`` the rows to fill; the same rule as KnnImpute.
+    """
+    p = len(feats)
+    both = [f"q.{f} IS NOT NULL AND d.{f} IS NOT NULL" for f in feats]
+    nc = " + ".join(f"(CASE WHEN {b} THEN 1 ELSE 0 END)" for b in both)
+    terms = [f"(CASE WHEN {b} THEN (q.{f} - d.{f}) * (q.{f} - d.{f}) ELSE 0.0::DOUBLE END)" for b, f in zip(both, feats)]
+    ss = terms[0]
+    for t in terms[1:]:
+        ss = f"({ss}) + {t}"
+    v = "CASE q.t " + " ".join(f"WHEN {j} THEN d.{f}" for j, f in enumerate(feats)) + " END"
+    qs = " UNION ALL ".join(f"SELECT {key}, {j} AS t, {', '.join(feats)} FROM {rows} WHERE {f} IS NULL"
+                            for j, f in enumerate(feats))
+    means = ", ".join(f"avg({f}) AS m{j}" for j, f in enumerate(feats))
+    joins = " ".join(f"LEFT JOIN imp i{j} ON i{j}.qk = r.{key} AND i{j}.t = {j}" for j in range(p))
+    outs = ", ".join(f"round(coalesce(r.{f}, i{j}.iv, m{j}), 6) AS {f}" for j, f in enumerate(feats))
+    kept = "".join(f"r.{c}, " for c in [*keep, *extra])
+    return f"""
+WITH {prelude},
+ kq AS ({qs}),
+ kmeans AS (SELECT {means} FROM {points}),
+ kpairs AS (SELECT q.{key} AS qk, q.t, d.{key} AS dk, {nc} AS nc, {ss} AS ss, {v} AS v FROM kq q, {points} d),
+ kranked AS (SELECT qk, t, v, row_number() OVER (PARTITION BY qk, t ORDER BY sqrt({float(p)}::DOUBLE / nc * ss), dk) AS rn
+             FROM kpairs WHERE nc > 0 AND v IS NOT NULL),
+ imp AS (SELECT qk, t, avg(v) AS iv FROM kranked WHERE rn <= {k} GROUP BY qk, t)
+SELECT r.{key}, {kept}{outs} FROM {rows} r CROSS JOIN kmeans {joins}"""
+
+
+def _enc(name: str, column: str, m: float) -> str:
+    """Target-encoding table of ``column`` fitted on the training rows of ``split``."""
+    return (f" {name} AS (SELECT {column} AS v, count(*) AS n, avg(y) AS mc FROM split "
+            f"WHERE NOT is_test AND {column} IS NOT NULL GROUP BY 1)")
+
+
+def _enc_expr(table: str, m: float) -> str:
+    return f"({table}.n * {table}.mc + {m} * g.gm) / ({table}.n + {m})"
+
+
+def _quartiles(name: str, rel: str, column: str, median: bool = False) -> str:
+    mid = f", quantile_cont({column}, 0.5) AS med" if median else ""
+    return (f" {name} AS (SELECT quantile_cont({column}, 0.25) AS q1{mid}, quantile_cont({column}, 0.75) AS q3 "
+            f"FROM {rel} WHERE NOT is_test)")
+
+
+def _clip(column: str, q: str, w: float) -> str:
+    return (f"CASE WHEN {column} IS NULL THEN NULL ELSE least(greatest({column}, {q}.q1 - {w} * ({q}.q3 - {q}.q1)), "
+            f"{q}.q3 + {w} * ({q}.q3 - {q}.q1)) END")
+
+
+def _robust(column: str, q: str) -> str:
+    return (f"CASE WHEN {q}.q3 - {q}.q1 = 0 THEN {column} ELSE ({column} - {q}.med) / ({q}.q3 - {q}.q1) END")
+
+
+def recipe_sql() -> dict[str, str]:
+    seed = cat.SPLIT_SEED
+    out = {}
+    # recipe C shape: documents x labels
+    base_c = ("(SELECT d.doc_id, d.lang, d.source, CASE WHEN d.doc_id % 5 = 0 THEN NULL ELSE CAST(d.n_chars AS DOUBLE) "
+              "END AS n_chars, l.toxic AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
+    pre_c = (_split_cte(base_c, "y", "doc_id", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
+             + _enc("e1", "lang", 10.0) + ",\n" + _enc("e2", "source", 15.0) + ",\n"
+             + _quartiles("tq", "split", "n_chars") + ",\n"
+             + f" t1 AS (SELECT s.doc_id, s.y, s.is_test, {_enc_expr('e1', 10.0)} AS lang, {_enc_expr('e2', 15.0)} AS source, "
+             + f"{_clip('s.n_chars', 'tq', 3.0)} AS n_chars FROM split s CROSS JOIN g CROSS JOIN tq "
+             + "LEFT JOIN e1 ON s.lang = e1.v LEFT JOIN e2 ON s.source = e2.v),\n"
+             + _quartiles("rq", "t1", "n_chars", median=True) + ",\n"
+             + f" t2 AS (SELECT doc_id, y, is_test, lang, source, {_robust('n_chars', 'rq')} AS n_chars FROM t1, rq),\n"
+             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
+    out["recipe_c"] = _knn_generic(pre_c, "fitrows", "t2", "doc_id", ["lang", "source", "n_chars"], ["y"],
+                                   extra=["is_test"])
+    # recipe B shape: events
+    ev_case = _case_map("event_type", cat.EVENT_MAP_RECIPE, "TRY_CAST(event_type AS BIGINT)")
+    base_b = ("(SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS event_type, "
+              "CAST(user_id % 10 AS VARCHAR) AS user_bucket, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, "
+              "CAST(event_id % 3 = 0 AS INTEGER) AS y FROM events)")
+    pre_b = (_split_cte(base_b, "y", "event_id", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
+             + _enc("e1", "user_bucket", 10.0) + ",\n" + _quartiles("tq", "split", "value") + ",\n"
+             + f" t1 AS (SELECT s.event_id, s.y, s.is_test, CAST({ev_case.replace('event_type', 's.event_type')} AS DOUBLE) AS event_type, "
+             + f"{_enc_expr('e1', 10.0)} AS user_bucket, {_clip('s.value', 'tq', 1.5)} AS value "
+             + "FROM split s CROSS JOIN g CROSS JOIN tq LEFT JOIN e1 ON s.user_bucket = e1.v),\n"
+             + _quartiles("rq", "t1", "value", median=True) + ",\n"
+             + f" t2 AS (SELECT event_id, y, is_test, event_type, user_bucket, {_robust('value', 'rq')} AS value FROM t1, rq),\n"
+             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
+    out["recipe_b"] = _knn_generic(pre_b, "fitrows", "t2", "event_id", ["event_type", "user_bucket", "value"], ["y"],
+                                   extra=["is_test"])
+    # recipe A shape: orders x customer
+    st_case = _case_map("s.o_orderstatus", cat.STATUS_MAP, "TRY_CAST(s.o_orderstatus AS BIGINT)")
+    base_a = ("(SELECT o.o_orderkey, o.o_orderstatus, c.c_mktsegment, CASE WHEN o.o_orderkey % 5 = 0 THEN NULL "
+              "WHEN o.o_orderkey % 97 = 0 THEN o.o_totalprice * 50 ELSE o.o_totalprice END AS o_totalprice, "
+              "CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal, "
+              "CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS y FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)")
+    pre_a = (_split_cte(base_a, "y", "o_orderkey", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
+             + _enc("e1", "c_mktsegment", 10.0) + ",\n" + _quartiles("tp", "split", "o_totalprice") + ",\n"
+             + _quartiles("ta", "split", "c_acctbal") + ",\n"
+             + f" t1 AS (SELECT s.o_orderkey, s.y, s.is_test, CAST({st_case} AS DOUBLE) AS o_orderstatus, "
+             + f"{_enc_expr('e1', 10.0)} AS c_mktsegment, {_clip('s.o_totalprice', 'tp', 3.0)} AS o_totalprice, "
+             + f"{_clip('s.c_acctbal', 'ta', 3.0)} AS c_acctbal "
+             + "FROM split s CROSS JOIN g CROSS JOIN tp CROSS JOIN ta LEFT JOIN e1 ON s.c_mktsegment = e1.v),\n"
+             + _quartiles("rp", "t1", "o_totalprice", median=True) + ",\n" + _quartiles("ra", "t1", "c_acctbal", median=True)
+             + ",\n t2 AS (SELECT o_orderkey, y, is_test, o_orderstatus, c_mktsegment, "
+             + f"{_robust('o_totalprice', 'rp')} AS o_totalprice, {_robust('c_acctbal', 'ra')} AS c_acctbal FROM t1, rp, ra),\n"
+             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
+    out["recipe_a"] = _knn_generic(pre_a, "fitrows", "t2", "o_orderkey",
+                                   ["o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal"], ["y"], extra=["is_test"])
+    return out

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from featurekit.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-HEAVY = {"recipe_a", "recipe_b", "recipe_c", "split_scan", "halving"}
+HEAVY = {"split_scan", "halving"}
 
 
 def canon(cols, rows):
