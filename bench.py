@@ -17,7 +17,8 @@ HEADLINE = [
     "map_priority", "map_coverage", "onehot_event", "keep_cols", "pearson_pairs", "pearson_prune",
     "sigma3_value", "tukey_outer", "robust_price", "target_segment", "target_source_null",
     "split_rows", "downsample", "prepare_fit_on_train", "confusion", "auc", "threshold_sweep",
-    "threshold_sweep_by_lang", "best_flags", "knn_classify", "knn_impute_uniform", "recipe_b",
+    "threshold_sweep_by_lang", "best_flags", "knn_classify", "knn_impute_uniform", "knn_impute_distance",
+    "recipe_a", "recipe_b", "recipe_c",
 ]
 
 
