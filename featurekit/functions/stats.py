@@ -54,52 +54,78 @@ def bucket_of(value: Column, bounds: list[float]) -> Column:
 
 def exact_quantiles(df: DataFrame, column: Column, probs: list[float], *,
                     accuracy: int = 10000, max_bracket_rows: int = 2_000_000) -> list[float | None]:
-    """Exact linearly interpolated quantiles of a high-cardinality column in bounded memory.
-
-    ``percentile`` holds a value->count map of the whole column in the final task; for columns with
-    billions of distinct values this pass-two form is used instead:
-
-    1. one aggregate: row count plus ``percentile_approx`` brackets around every wanted rank;
-    2. one aggregate: rows below each bracket, and each bracket's values (bounded by
-       ``max_bracket_rows``, checked) sorted, from which the exact order statistics are read.
-    A bracket that misses its rank (possible only for tiny inputs) is widened to the whole range.
-    Returns the same numbers as ``percentile`` (pandas' linear interpolation).
+    """Exact linearly interpolated quantiles of a column in bounded memory.
+
+    ``percentile`` holds a value->count map of the whole column in its final task; for columns with
+    billions of distinct values this form is used instead (same numbers, same interpolation):
+
+    1. one aggregate: row count, min, max and ``percentile_approx`` brackets around every wanted rank;
+    2. one aggregate: for every bracket, the rows below it and inside it;
+    3. brackets that hold their ranks and at most ``max_bracket_rows`` rows: one aggregate sorts the
+       values inside each and reads the order statistics.  A bracket that misses its rank (possible
+       only on tiny inputs) is widened to the whole range; one that is too large is narrowed by
+       another ``percentile_approx`` restricted to it, so no step ever gathers more than
+       ``max_bracket_rows`` values in one task.
     """
     x = column.cast("double")
+    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
     eps = 2.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    first = df.select(x.alias("x")).where(F.col("x").isNotNull()).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("x", lo_p, accuracy).alias("lo"),
-        F.percentile_approx("x", hi_p, accuracy).alias("hi"),
-        F.min("x").alias("mn"), F.max("x").alias("mx"),
+    first = base.agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
+        F.percentile_approx("x", [max(0.0, p - eps) for p in probs], accuracy).alias("lo"),
+        F.percentile_approx("x", [min(1.0, p + eps) for p in probs], accuracy).alias("hi"),
     ).first()
     n = first["n"]
     if n == 0:
         return [None for _ in probs]
+    ranks = [p * (n - 1) for p in probs]
+    need = [(math.floor(r), math.ceil(r)) for r in ranks]
+    brackets = [(first["lo"][i], first["hi"][i]) for i in range(len(probs))]
+    values: dict[int, tuple[float, float]] = {}
+    pending = list(range(len(probs)))
+    for _ in range(16):
+        if not pending:
+            break
+        counts = base.agg(*[F.struct(F.count(F.when(F.col("x") < lo, 1)).alias("b"),
+                                     F.count(F.when((F.col("x") >= lo) & (F.col("x") <= hi), 1)).alias("i"))
+                            .alias(f"c{i}") for i, (lo, hi) in ((i, brackets[i]) for i in pending)]).first()
+        ready, again = [], []
+        for i in pending:
+            below, inside = counts[f"c{i}"]["b"], counts[f"c{i}"]["i"]
+            i0, i1 = need[i]
+            lo, hi = brackets[i]
+            if not (below <= i0 and i1 < below + inside):
+                brackets[i] = (first["mn"], first["mx"])          # missed: widen to the whole range
+                again.append(i)
+            elif lo == hi:
+                values[i] = (lo, lo)          # one value holds both ranks (a hot value is never gathered)
+            elif inside > max_bracket_rows:
+                # narrow: approximate quantiles of the bracket's own rows around the wanted ranks
+                sub = base.where((F.col("x") >= lo) & (F.col("x") <= hi))
+                qa = [min(1.0, max(0.0, (i0 - below) / max(inside - 1, 1) - eps)),
+                      min(1.0, max(0.0, (i1 - below) / max(inside - 1, 1) + eps))]
+                nb = sub.agg(F.percentile_approx("x", qa, accuracy).alias("q")).first()["q"]
+                brackets[i] = (nb[0], nb[1])
+                again.append(i)
+            else:
+                ready.append((i, below))
+        if ready:
+            got = base.agg(*[F.struct(
+                F.element_at(F.array_sort(F.collect_list(F.when((F.col("x") >= brackets[i][0]) &
+                                                                (F.col("x") <= brackets[i][1]), F.col("x")))),
+                             F.lit(need[i][0] - below + 1)).alias("a"),
+                F.element_at(F.array_sort(F.collect_list(F.when((F.col("x") >= brackets[i][0]) &
+                                                                (F.col("x") <= brackets[i][1]), F.col("x")))),
+                             F.lit(need[i][1] - below + 1)).alias("b")).alias(f"v{i}") for i, below in ready]).first()
+            for i, _ in ready:
+                values[i] = (got[f"v{i}"]["a"], got[f"v{i}"]["b"])
+        pending = again
+    if pending:
+        raise ValueError("exact_quantiles: brackets did not converge")
     out: list[float | None] = []
-    for i, p in enumerate(probs):
-        lo, hi = first["lo"][i], first["hi"][i]
-        for attempt in range(2):
-            if attempt == 1:
-                lo, hi = first["mn"], first["mx"]
-            r = p * (n - 1)
-            i0, i1 = math.floor(r), math.ceil(r)
-            stats = df.select(x.alias("x")).agg(
-                F.count(F.when(F.col("x") < lo, 1)).alias("below"),
-                F.count(F.when((F.col("x") >= lo) & (F.col("x") <= hi), 1)).alias("inside"),
-            ).first()
-            below, inside = stats["below"], stats["inside"]
-            if below <= i0 and i1 < below + inside:
-                break
-        if inside > max_bracket_rows:
-            raise ValueError(f"quantile bracket holds {inside} rows (> {max_bracket_rows}); raise accuracy")
-        vals = df.select(x.alias("x")).where((F.col("x") >= lo) & (F.col("x") <= hi)).agg(
-            F.element_at(F.array_sort(F.collect_list("x")), F.lit(i0 - below + 1)).alias("a"),
-            F.element_at(F.array_sort(F.collect_list("x")), F.lit(i1 - below + 1)).alias("b"),
-        ).first()
-        a, b = vals["a"], vals["b"]
+    for i, r in enumerate(ranks):
+        a, b = values[i]
+        i0, i1 = need[i]
         # same interpolation form as Spark's percentile, so both modes agree to the last bit
         out.append(a if i1 == i0 else (i1 - r) * a + (r - i0) * b)
     return out

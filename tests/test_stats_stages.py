@@ -142,3 +142,14 @@ def test_rint_rounding_and_buckets(spark):
     b = spark.createDataFrame([(v,) for v in [-1.0, 0.0, 0.5, 1.0, 2.0]], "x double")
     assert [r[0] for r in b.select(bucket_of(F.col("x"), [0.0, 1.0, 0.5])).collect()] == [0, 1, 2, 3, 3]
     assert not math.isnan(0.0)
+
+
+def test_bracketed_quantiles_narrow_large_brackets(spark):
+    df = spark.range(20000).select(((F.col("id") * 7919) % 20011 / 7.0).alias("x"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    exact = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    # brackets of a coarse sketch hold thousands of rows; a 300-row cap forces narrowing rounds
+    assert exact_quantiles(df, F.col("x"), probs, accuracy=50, max_bracket_rows=300) == list(exact)
+    ties = spark.range(5000).select((F.col("id") % 3).cast("double").alias("x"))
+    exact_t = ties.agg(F.percentile("x", F.array(F.lit(0.5), F.lit(0.9)))).first()[0]
+    assert exact_quantiles(ties, F.col("x"), [0.5, 0.9], accuracy=50, max_bracket_rows=10) == list(exact_t)
