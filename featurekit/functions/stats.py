@@ -54,78 +54,95 @@ def bucket_of(value: Column, bounds: list[float]) -> Column:
 
 def exact_quantiles(df: DataFrame, column: Column, probs: list[float], *,
                     accuracy: int = 10000, max_bracket_rows: int = 2_000_000) -> list[float | None]:
-    """Exact linearly interpolated quantiles of a column in bounded memory.
+    """Exact quantiles of one column; see ``exact_quantiles_multi``."""
+    return exact_quantiles_multi(df, [(column, probs)], accuracy=accuracy, max_bracket_rows=max_bracket_rows)[0]
 
-    ``percentile`` holds a value->count map of the whole column in its final task; for columns with
-    billions of distinct values this form is used instead (same numbers, same interpolation):
 
-    1. one aggregate: row count, min, max and ``percentile_approx`` brackets around every wanted rank;
+def exact_quantiles_multi(df: DataFrame, requests: list[tuple[Column, list[float]]], *,
+                          accuracy: int = 10000, max_bracket_rows: int = 2_000_000) -> list[list[float | None]]:
+    """Exact linearly interpolated quantiles of several columns in bounded memory (NULLs skipped).
+
+    ``percentile`` holds a value->count map of a whole column in its final task; this form never
+    gathers more than ``max_bracket_rows`` values in one task and gives the same numbers:
+
+    1. one aggregate for all columns: count, min, max and ``percentile_approx`` brackets around
+       every wanted rank;
     2. one aggregate: for every bracket, the rows below it and inside it;
-    3. brackets that hold their ranks and at most ``max_bracket_rows`` rows: one aggregate sorts the
-       values inside each and reads the order statistics.  A bracket that misses its rank (possible
-       only on tiny inputs) is widened to the whole range; one that is too large is narrowed by
-       another ``percentile_approx`` restricted to it, so no step ever gathers more than
-       ``max_bracket_rows`` values in one task.
+    3. one aggregate: the values inside every bracket that holds its ranks, sorted, from which the
+       order statistics are read.  A bracket that misses its rank (possible only on tiny inputs) is
+       widened to the whole range; one holding too many rows is narrowed by a ``percentile_approx``
+       of its own rows (steps 2-3 repeat); one holding a single value answers without gathering.
     """
-    x = column.cast("double")
-    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    xs = [f"__x{r}" for r in range(len(requests))]
+    base = df.select(*[c.cast("double").alias(x) for (c, _), x in zip(requests, xs)])
     eps = 2.0 / accuracy
-    first = base.agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
-        F.percentile_approx("x", [max(0.0, p - eps) for p in probs], accuracy).alias("lo"),
-        F.percentile_approx("x", [min(1.0, p + eps) for p in probs], accuracy).alias("hi"),
-    ).first()
-    n = first["n"]
-    if n == 0:
-        return [None for _ in probs]
-    ranks = [p * (n - 1) for p in probs]
-    need = [(math.floor(r), math.ceil(r)) for r in ranks]
-    brackets = [(first["lo"][i], first["hi"][i]) for i in range(len(probs))]
-    values: dict[int, tuple[float, float]] = {}
-    pending = list(range(len(probs)))
+    aggs = []
+    for r, (_, probs) in enumerate(requests):
+        x = xs[r]
+        aggs += [F.count(x).alias(f"n{r}"), F.min(x).alias(f"mn{r}"), F.max(x).alias(f"mx{r}"),
+                 F.percentile_approx(x, [max(0.0, p - eps) for p in probs], accuracy).alias(f"lo{r}"),
+                 F.percentile_approx(x, [min(1.0, p + eps) for p in probs], accuracy).alias(f"hi{r}")]
+    first = base.agg(*aggs).first()
+    results: list[list[float | None]] = [[None] * len(p) for _, p in requests]
+    need, ranks, brackets = {}, {}, {}
+    pending = []
+    for r, (_, probs) in enumerate(requests):
+        n = first[f"n{r}"]
+        if n == 0:
+            continue
+        for i, p in enumerate(probs):
+            ranks[r, i] = p * (n - 1)
+            need[r, i] = (math.floor(ranks[r, i]), math.ceil(ranks[r, i]))
+            brackets[r, i] = (first[f"lo{r}"][i], first[f"hi{r}"][i])
+            pending.append((r, i))
+    values: dict = {}
+
+    def inside(r, i):
+        lo, hi = brackets[r, i]
+        return (F.col(xs[r]) >= lo) & (F.col(xs[r]) <= hi)
+
     for _ in range(16):
         if not pending:
             break
-        counts = base.agg(*[F.struct(F.count(F.when(F.col("x") < lo, 1)).alias("b"),
-                                     F.count(F.when((F.col("x") >= lo) & (F.col("x") <= hi), 1)).alias("i"))
-                            .alias(f"c{i}") for i, (lo, hi) in ((i, brackets[i]) for i in pending)]).first()
-        ready, again = [], []
-        for i in pending:
-            below, inside = counts[f"c{i}"]["b"], counts[f"c{i}"]["i"]
-            i0, i1 = need[i]
-            lo, hi = brackets[i]
-            if not (below <= i0 and i1 < below + inside):
-                brackets[i] = (first["mn"], first["mx"])          # missed: widen to the whole range
-                again.append(i)
+        counts = base.agg(*[F.struct(F.count(F.when(F.col(xs[r]) < brackets[r, i][0], 1)).alias("b"),
+                                     F.count(F.when(inside(r, i), 1)).alias("i")).alias(f"c{r}_{i}")
+                            for r, i in pending]).first()
+        ready, narrow, again = [], [], []
+        for r, i in pending:
+            below, cnt = counts[f"c{r}_{i}"]["b"], counts[f"c{r}_{i}"]["i"]
+            i0, i1 = need[r, i]
+            lo, hi = brackets[r, i]
+            if not (below <= i0 and i1 < below + cnt):
+                brackets[r, i] = (first[f"mn{r}"], first[f"mx{r}"])   # missed: widen to the whole range
+                again.append((r, i))
             elif lo == hi:
-                values[i] = (lo, lo)          # one value holds both ranks (a hot value is never gathered)
-            elif inside > max_bracket_rows:
-                # narrow: approximate quantiles of the bracket's own rows around the wanted ranks
-                sub = base.where((F.col("x") >= lo) & (F.col("x") <= hi))
-                qa = [min(1.0, max(0.0, (i0 - below) / max(inside - 1, 1) - eps)),
-                      min(1.0, max(0.0, (i1 - below) / max(inside - 1, 1) + eps))]
-                nb = sub.agg(F.percentile_approx("x", qa, accuracy).alias("q")).first()["q"]
-                brackets[i] = (nb[0], nb[1])
-                again.append(i)
+                values[r, i] = (lo, lo)        # one value holds both ranks: a hot value is never gathered
+            elif cnt > max_bracket_rows:
+                qa = [min(1.0, max(0.0, (i0 - below) / max(cnt - 1, 1) - eps)),
+                      min(1.0, max(0.0, (i1 - below) / max(cnt - 1, 1) + eps))]
+                narrow.append((r, i, qa))
             else:
-                ready.append((i, below))
+                ready.append((r, i, below))
+        if narrow:
+            got = base.agg(*[F.percentile_approx(F.when(inside(r, i), F.col(xs[r])), qa, accuracy).alias(f"q{r}_{i}")
+                             for r, i, qa in narrow]).first()
+            for r, i, _ in narrow:
+                brackets[r, i] = tuple(got[f"q{r}_{i}"])
+                again.append((r, i))
         if ready:
-            got = base.agg(*[F.struct(
-                F.element_at(F.array_sort(F.collect_list(F.when((F.col("x") >= brackets[i][0]) &
-                                                                (F.col("x") <= brackets[i][1]), F.col("x")))),
-                             F.lit(need[i][0] - below + 1)).alias("a"),
-                F.element_at(F.array_sort(F.collect_list(F.when((F.col("x") >= brackets[i][0]) &
-                                                                (F.col("x") <= brackets[i][1]), F.col("x")))),
-                             F.lit(need[i][1] - below + 1)).alias("b")).alias(f"v{i}") for i, below in ready]).first()
-            for i, _ in ready:
-                values[i] = (got[f"v{i}"]["a"], got[f"v{i}"]["b"])
+            def sorted_in(r, i):
+                return F.array_sort(F.collect_list(F.when(inside(r, i), F.col(xs[r]))))
+            got = base.agg(*[F.struct(F.element_at(sorted_in(r, i), F.lit(need[r, i][0] - below + 1)).alias("a"),
+                                      F.element_at(sorted_in(r, i), F.lit(need[r, i][1] - below + 1)).alias("b"))
+                             .alias(f"v{r}_{i}") for r, i, below in ready]).first()
+            for r, i, _ in ready:
+                values[r, i] = (got[f"v{r}_{i}"]["a"], got[f"v{r}_{i}"]["b"])
         pending = again
     if pending:
         raise ValueError("exact_quantiles: brackets did not converge")
-    out: list[float | None] = []
-    for i, r in enumerate(ranks):
-        a, b = values[i]
-        i0, i1 = need[i]
+    for (r, i), (a, b) in values.items():
+        i0, i1 = need[r, i]
+        rk = ranks[r, i]
         # same interpolation form as Spark's percentile, so both modes agree to the last bit
-        out.append(a if i1 == i0 else (i1 - r) * a + (r - i0) * b)
-    return out
+        results[r][i] = a if i1 == i0 else (i1 - rk) * a + (rk - i0) * b
+    return results

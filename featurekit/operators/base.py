@@ -7,6 +7,8 @@ fuse several fits into one job:
 * ``fit_kind = "none"``    - nothing to learn (mapping, drop/keep)
 * ``fit_kind = "global"``  - a handful of global aggregates (moments, quantiles): ``global_aggs`` +
   ``from_global_row``; fused stages share a single ``agg``
+* ``fit_kind = "quantile"`` - exact quantiles (``quantile_request`` + ``from_quantiles``); all of a
+  group are found together by ``exact_quantiles_multi`` in three bounded-memory jobs
 * ``fit_kind = "grouped"`` - per-category aggregates (target encoding): ``group_key`` +
   ``group_aggs`` + ``from_group_table``; fused stages share one ``GROUPING SETS`` job
 * ``fit_kind = "own"``     - runs its own jobs (correlation pruning, KNN, one-hot)

@@ -2,9 +2,10 @@
 
 Semantics are sequential, as in the reference: every stage is fitted on the output of the stages
 before it.  The planner groups consecutive stages whose fits are independent (no stage reads a
-column an earlier member writes) and fits a group with at most two jobs:
+column an earlier member writes) and fits a group with a few fused jobs:
 
-* all global statistics (moments, exact quartiles) of the group in one ``agg``;
+* all moments of the group in one ``agg``, and all exact quantiles of the group together in three
+  bounded-memory jobs (``exact_quantiles_multi``; no column's values gathered in one task);
 * all target encoders of the group in one ``GROUPING SETS ((c1), (c2), ..., ())`` aggregate, the
   empty set giving the global label mean; the result is written to the checkpoint folder once and
   each encoder's table is read back from it.
@@ -35,6 +36,13 @@ def fit_group(stages: list[Stage], df: DataFrame) -> list[StageModel]:
     models: dict[int, StageModel] = {}
     glob = [s for s in stages if s.fit_kind == "global"]
     grouped = [s for s in stages if s.fit_kind == "grouped"]
+    quant = [s for s in stages if s.fit_kind == "quantile"]
+    if quant:
+        from featurekit.functions.stats import exact_quantiles_multi
+
+        found = exact_quantiles_multi(df, [s.quantile_request(df) for s in quant])
+        for s, qs in zip(quant, found):
+            models[id(s)] = s.from_quantiles(qs)
     if glob:
         row = df.agg(*[a for s in glob for a in s.global_aggs(df)]).first()
         for s in glob:
