@@ -42,9 +42,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        # Only reached in local tests: a cluster names a shared folder in spark.checkpoint.dir.
+    elif sc.master.startswith("local"):
+        # Local runs and tests only: a cluster names a shared folder in spark.checkpoint.dir.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="featurekit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    else:
+        raise RuntimeError("featurekit needs spark.checkpoint.dir set to a folder shared by the cluster "
+                           "(fitted state and k-NN rounds are checkpointed there)")
     return sc.getCheckpointDir()
 
 
