@@ -75,6 +75,10 @@ def apportion(parties: DataFrame, group: list[str], order: list[Column], weight:
     return won.unionByName(parties.where(~(F.coalesce(F.col(weight) > 0, F.lit(False)))).withColumn(out, F.lit(0).cast("long")))
 
 
+def _number(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` without its text: ``__doc`` (the other columns), ``size, source_size, target, taken``."""
     cols = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -87,10 +91,9 @@ def mix(docs: DataFrame) -> DataFrame:
                           [F.col("__src").asc_nulls_last()], "__target", "__seats", "__quota")
     by_source = durable(by_source.withColumn("__shards", F.ceil(F.col("__docs") / SHARD_DOCS))
                         .select(F.xxhash64("__src").alias("__s"), "__size", "__target", "__quota", "__shards"))
-    prefix = F.conv(F.substring("__h", 1, 8), 16, 10).cast("long")
     # one row per source; joined by the hash of its name, so that NULL is a source too
     dealt = (sized.withColumn("__s", F.xxhash64("__src")).join(by_source, "__s")
-             .withColumn("__shard", F.pmod(prefix, F.col("__shards"))))
+             .withColumn("__shard", F.pmod(_number(F.col("__h")), F.col("__shards"))))
     shards = dealt.groupBy("__s", "__shard").agg(F.sum("size").alias("__words"), F.first("__quota").alias("__quota"))
     quotas = apportion(shards, ["__s"], [F.col("__shard")], "__words", "__quota", "__won").select("__s", "__shard", "__words", "__won")
     line = Window.partitionBy("__s", "__shard").orderBy("__h", "__id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -101,7 +104,8 @@ def mix(docs: DataFrame) -> DataFrame:
     won = F.least(F.col("__won"), MAX_REPEAT * blocks)
     full = F.when(blocks > 0, F.floor(won / blocks)).otherwise(0).cast("long")
     rest = F.when(blocks > 0, won - full * blocks).otherwise(0)
-    begin = F.when(blocks > 0, F.pmod(F.xxhash64(F.lit(SEED), F.col("__s"), F.col("__shard")), blocks)).otherwise(0) * BLOCK_WORDS
+    place = _number(F.md5(F.concat_ws("|", F.lit(f"{SEED} start"), F.coalesce("__src", F.lit("null")), F.col("__shard").cast("string"))))
+    begin = F.when(blocks > 0, F.pmod(place, blocks)).otherwise(0) * BLOCK_WORDS
     overlap = lambda a, b: F.greatest(F.lit(0), F.least(F.col("__end"), b) - F.greatest(F.col("__from"), a))
     until = begin + rest * BLOCK_WORDS
     round_trip = blocks * BLOCK_WORDS           # the run of blocks goes on at the shard's first block
