@@ -11,8 +11,9 @@ symmetric difference is at most D = 6/37 of the larger size (3/37 of the sum of
   blocks at least.  Blocks without a set bit say nothing and are left out; a set with more than S such
   blocks also joins on its prefix (the first n - ceil(0.85 n) + 1 shingles in hash order), and as both sets
   of a pair that agrees on empty blocks only have more than S of them, no linked pair is lost.
-* Links: copies (equal sets) are one node from the start.  Nodes that share a block are compared with one
-  center per block, the node that shares most blocks, not with each other; the links found merge them.
+* Links: copies (equal sets) are one node from the start.  Nodes that share fewer blocks with all others than
+  any link needs are dropped.  The rest are each compared with one center (of each block, the node that shares
+  most is a center; of a node's centers, the one of most blocks), not with each other; the links found merge them.
   Only blocks that still hold different groups are looked at further: nodes whose number of shingles found
   in no other open node rules out every link are dropped, and what is left is compared across groups.
   Comparisons count exact intersections of the shingle sets, so no link between groups is lost and none is
@@ -100,13 +101,18 @@ def _smallest(band: int) -> int:
 def _layout(band: int) -> tuple[int, int]:
     """Blocks of a band, and the slack."""
     most = (100 - PERCENT) * 2 * _largest(band) // (100 + PERCENT)       # symmetric difference of a linked pair
-    slack = 0 if most == 0 else 1 + most // 30
+    slack = 0 if most == 0 else 1 + most // 10
     return most + 1 + slack, slack
 
 
-def sketch_keys(s: np.ndarray) -> np.ndarray:
-    """The join keys of a set: its blocks' words in its own band and, as a smaller partner, the next."""
-    n, out = len(s), []
+def sketch_keys(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of a set, and with each the blocks it must share at least to link with anyone.
+
+    Keys are its blocks' words in its own band and, as a smaller partner, in the next.  A linked pair agrees
+    on all blocks but as many as its symmetric difference, which the sizes bound, so a set shares at least
+    ``blocks - difference - empty blocks`` used blocks.  That number is returned doubled, plus 1 for the next band.
+    """
+    n, keys, needs = len(s), [], []
     own = _band(n)
     for band in (own, own + 1):
         if band > own and 100 * n < PERCENT * _smallest(band):
@@ -120,11 +126,15 @@ def sketch_keys(s: np.ndarray) -> np.ndarray:
         word, block = np.bitwise_xor.reduceat(zobrist, first), block[first]
         used = word != 0
         word, block = word[used], block[used]
-        out.append(_mix(word + _mix((block + (band << 32)).astype(np.uint64))))
+        partner = min(100 * n // PERCENT, _largest(band))                # the largest set it can link with
+        need = blocks - (100 - PERCENT) * (n + partner) // (100 + PERCENT) - (blocks - len(word))
+        found = _mix(word + _mix((block + (band << 32)).astype(np.uint64)))
         if blocks - len(word) > slack:
             prefix = np.sort(_mix(s))[:n - (PERCENT * n + 99) // 100 + 1]
-            out.append(_mix(prefix + np.uint64(band + 1000)))
-    return np.concatenate(out)
+            found, need = np.concatenate([found, _mix(prefix + np.uint64(band + 1000))]), 1
+        keys.append(found)
+        needs.append(np.full(len(found), 2 * max(need, 1) + (band > own), np.int32))
+    return np.concatenate(keys), np.concatenate(needs)
 
 
 def _map(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -139,24 +149,26 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = lambda *cols: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["k", "h", "q"])
     seen: set[int] = set()         # copies in the same task give their keys once; forgetting them is harmless
     for b in batches:
-        keys, nodes, rows = [], [], 0
+        keys, nodes, needs, rows = [], [], [], 0
         for t in b.column(0).to_pylist():
             s = shingle_set(t)
             if not len(s) or (h := set_hash(s)) in seen:
                 continue
             seen = seen if len(seen) < 1_000_000 else set()
             seen.add(h)
-            k = sketch_keys(s)
+            k, need = sketch_keys(s)
             keys.append(k.view(np.int64))
             nodes.append(np.full(len(k), h, np.int64))
+            needs.append(need)
             rows += len(k)
             if rows > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["k", "h"])
-                keys, nodes, rows = [], [], 0
+                yield pack(keys, nodes, needs)
+                keys, nodes, needs, rows = [], [], [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["k", "h"])
+            yield pack(keys, nodes, needs)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,16 +227,25 @@ def _relabel(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         *[nodes[c] for c in nodes.columns], F.coalesce("label", "h").alias("label"))
 
 
+def _enough(shared: DataFrame) -> DataFrame:
+    """The rows of nodes that share enough blocks of a band."""
+    count = shared.groupBy("h", (F.col("q") % 2).alias("next")).agg(F.count("*").alias("c"), F.max("q").alias("q"))
+    enough = count.where(F.col("c") >= F.floor(F.col("q") / 2)).select("h", "next")
+    return shared.join(enough, (shared["h"] == enough["h"]) & (shared["q"] % 2 == enough["next"]), "left_semi")
+
+
 def link_groups(docs: DataFrame) -> DataFrame:
     """One row per document: ``__id, __n`` (set size), ``__component`` (least id reachable by links)."""
     rows = durable(_map(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t")), _summaries,
                         "id long, n long, h long"))
     node = durable(rows.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.max("n").alias("n")))
-    # 1. blocks that two nodes or more share
+    # 1. blocks that two nodes or more share, of nodes that share as many as a link needs
     over = Window.partitionBy("k")
-    keys = _map(docs.select("text"), _keys, "k long, h long")
-    keys = keys.repartition(F.col("k")).groupBy("k", "h").agg(F.lit(1).alias("one"))
-    shared = durable(keys.withColumn("g", F.count("*").over(over)).where("g > 1").select("k", "h", "g"))
+    keys = _map(docs.select("text"), _keys, "k long, h long, q int")
+    keys = keys.repartition(F.col("k")).groupBy("k", "h").agg(F.max("q").alias("q"))
+    shared = _enough(durable(keys.withColumn("g", F.count("*").over(over)).where("g > 1").select("k", "h", "q")))
+    shared = _enough(durable(shared.join(shared.groupBy("k").agg(F.count("*").alias("g")).where("g > 1"), "k")))
+    shared = durable(shared)
     central = shared.groupBy("h").agg(F.sum("g").alias("c"))
     members = durable(central.join(node.withColumnRenamed("id", "doc"), "h").select("h", "c", "n", "doc"))
     # 2. their sets, from the texts of one document each
@@ -235,7 +256,8 @@ def link_groups(docs: DataFrame) -> DataFrame:
     # 3. every node against the center of each of its blocks
     best = shared.join(members.select("h", "c"), "h").groupBy("k").agg(F.max(F.struct("c", "h")).alias("m"))
     star = (shared.join(best.select("k", F.col("m.h").alias("center")), "k").where("h <> center")
-            .select(F.col("center").alias("a"), F.col("h").alias("b")).distinct())
+            .groupBy("h", "center").agg(F.count("*").alias("c")).groupBy("h").agg(F.max(F.struct("c", "center")).alias("m"))
+            .select(F.col("m.center").alias("a"), F.col("h").alias("b")))
     found = durable(_linked(star, sets))
     labelled = durable(_relabel(members, components(found)))
     # 4. blocks that still hold different groups, without the nodes that can't link
