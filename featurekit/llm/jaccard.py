@@ -12,10 +12,11 @@ symmetric difference is at most D = 6/37 of the larger size (3/37 of the sum of
   blocks also joins on its prefix (the first n - ceil(0.85 n) + 1 shingles in hash order), and as both sets
   of a pair that agrees on empty blocks only have more than S of them, no linked pair is lost.
 * Links: copies (equal sets) are one node from the start.  Nodes that share fewer blocks with all others than
-  any link needs are dropped.  The rest are each compared with one center (of each block, the node that shares
-  most is a center; of a node's centers, the one of most blocks), not with each other; the links found merge them.
-  Only blocks that still hold different groups are looked at further: nodes whose number of shingles found
-  in no other open node rules out every link are dropped, and what is left is compared across groups.
+  any link needs are dropped.  The rest are each compared with two centers (of each block, the node that shares
+  most is a center; of a node's centers, that of most of its blocks and that which shares most), not with each
+  other; the links found merge them.
+  Only blocks that still hold different groups are looked at further: shingles found in no other open node, and
+  the distances to a common center, rule out most pairs; what is left is compared across groups.
   Comparisons count exact intersections of the shingle sets, so no link between groups is lost and none is
   false; pairs inside a group are never listed.
 
@@ -181,21 +182,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, set of a, set of b) -> the linked (a, b)."""
+    """(a, b, set of a, set of b) -> a, b, the size of the symmetric difference, and whether they link."""
     for batch in batches:
-        x, y, kept = batch.column(2), batch.column(3), []
+        x, y, apart, linked = batch.column(2), batch.column(3), [], []
         for i in range(batch.num_rows):
             p, q = np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)
             both = len(np.intersect1d(p, q, assume_unique=True))
-            kept.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            apart.append(len(p) + len(q) - 2 * both)
+            linked.append(100 * both >= PERCENT * (len(p) + len(q) - both))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart, pa.int64()), pa.array(linked, pa.bool_())],
+                                         ["a", "b", "apart", "linked"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by exact comparison."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) by exact comparison: ``apart`` and ``linked``."""
     with_b = pairs.join(sets.select(F.col("h").alias("b"), F.col("set").alias("sb")), "b")
     both = with_b.join(sets.select(F.col("h").alias("a"), F.col("set").alias("sa")), "a")
-    return _map(both.select("a", "b", "sa", "sb"), _verify, "a long, b long")
+    return _map(both.select("a", "b", "sa", "sb"), _verify, "a long, b long, apart long, linked boolean")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -255,27 +258,42 @@ def link_groups(docs: DataFrame) -> DataFrame:
     sets = durable(_map(held.select("h", "t"), _sets, "h long, set binary").where(F.octet_length("set") > 0))
     # 3. every node against the center of each of its blocks
     best = shared.join(members.select("h", "c"), "h").groupBy("k").agg(F.max(F.struct("c", "h")).alias("m"))
-    star = (shared.join(best.select("k", F.col("m.h").alias("center")), "k").where("h <> center")
-            .groupBy("h", "center").agg(F.count("*").alias("c")).groupBy("h").agg(F.max(F.struct("c", "center")).alias("m"))
-            .select(F.col("m.center").alias("a"), F.col("h").alias("b")))
-    found = durable(_linked(star, sets))
+    most = (shared.join(best.select("k", "m"), "k").where(F.col("h") != F.col("m.h"))
+            .groupBy("h", "m").agg(F.count("*").alias("blocks"))
+            .groupBy("h").agg(F.max(F.struct("blocks", F.col("m.h"))).alias("near"), F.max("m").alias("hub")))
+    star = durable(most.select("h", F.col("near.h").alias("near"), F.col("hub.h").alias("hub")))
+    pairs = star.select(F.col("near").alias("a"), F.col("h").alias("b")).union(star.select("hub", "h")).distinct()
+    seen = durable(_compared(pairs, sets))
+    found = seen.where("linked").select("a", "b")
+    centers = (seen.join(star.select(F.col("h").alias("b"), F.col("hub").alias("a")), ["a", "b"])
+               .groupBy("b").agg(F.max("a").alias("center"), F.max("apart").alias("apart")).withColumnRenamed("b", "h"))
     labelled = durable(_relabel(members, components(found)))
-    # 4. blocks that still hold different groups, without the nodes that can't link
+    # 4. blocks that still hold different groups, without the nodes and pairs that can't link
     spread = shared.join(labelled.select("h", "label"), "h")
     mixed = spread.groupBy("k").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("k")
-    still = durable(spread.join(mixed, "k", "left_semi").select("k", "h", "label"))
+    still = durable(spread.join(mixed, "k", "left_semi").select("k", "h", "q", "label"))
     opened = durable(still.select("h").distinct())
-    own = (_map(sets.join(opened, "h", "left_semi"), _explode_sets, "h long, x long")
+    around = opened.union(opened.join(centers, "h").select("center")).distinct()
+    own = (_map(sets.join(around, "h", "left_semi"), _explode_sets, "h long, x long")
            .groupBy("x").agg(F.min("h").alias("h"), F.count("*").alias("c")).where("c = 1").groupBy("h").agg(F.count("*").alias("own")))
-    size = durable(opened.join(members.select("h", "n"), "h").join(own, "h", "left")
-                   .select("h", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")))
-    able = still.join(size.where(100 * F.col("most") >= PERCENT * F.col("n")), "h")
+    facts = durable(opened.join(members.select("h", "n"), "h").join(own, "h", "left").join(centers, "h", "left")
+                    .select("h", "n", F.coalesce("own", F.lit(0)).alias("own"), "center", "apart"))
+    able = still.join(facts.where(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")), "h")
+    # A link needs so many common blocks that the most frequent ones, but for the last needed, can be left out.
+    able = able.join(able.groupBy("k").agg(F.count("*").alias("g")).where("g > 1"), "k")
+    rank = F.row_number().over(Window.partitionBy("h", F.col("q") % 2).orderBy(F.col("g").desc(), "k"))
+    able = durable(able.withColumn("rank", rank).where(F.col("rank") >= F.floor(F.col("q") / 2)).drop("rank", "g"))
     x, y = able.alias("x"), able.alias("y")
-    most = F.least("x.most", "y.most")
+    both = F.least(F.col("x.n") - F.col("x.own"), F.col("y.n") - F.col("y.own"))          # the most they can have in common
+    limit = F.floor((100 - PERCENT) * (F.col("x.n") + F.col("y.n")) / (100 + PERCENT))    # the most they may be apart
+    # Of one center c: |x ^ y| = |x ^ c| + |y ^ c| - 2 |(x ^ c) & (y ^ c)|, and own shingles are in one of the differences only.
+    shared_apart = F.least(F.col("x.apart") - F.col("x.own"), F.col("y.apart") - F.col("y.own"))
+    near = F.coalesce((F.col("x.center") != F.col("y.center")) | (F.col("x.apart") + F.col("y.apart") - 2 * shared_apart <= limit), F.lit(True))
+    known = F.coalesce(F.col("x.center") == F.col("y.h"), F.lit(False)) | F.coalesce(F.col("y.center") == F.col("x.h"), F.lit(False))
     pairs = (x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.label") < F.col("y.label"))
-                    & ((100 + PERCENT) * most >= PERCENT * (F.col("x.n") + F.col("y.n"))))
+                    & ((100 + PERCENT) * both >= PERCENT * (F.col("x.n") + F.col("y.n"))) & near & ~known)
              .select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct())
-    more = durable(_linked(pairs, sets))
+    more = durable(_compared(pairs, sets).where("linked").select("a", "b"))
     # 5. groups, by least document id
     final = _relabel(node, components(found.unionByName(more)))
     least = durable(final.join(final.groupBy("label").agg(F.min("id").alias("least")), "label").select("h", "least"))
