@@ -45,8 +45,10 @@ def _repeat_words(w: Column) -> Column:
         added = let(starts, lambda p: F.transform(p, lambda x, j: F.coalesce(F.least(F.get(p, j + 1) - x, F.lit(k)), F.lit(k))))
         return F.aggregate(added, F.lit(0), lambda a, x: a + x)
 
-    hashes = let(F.transform(w, lambda x: F.xxhash64(x)), lambda a: F.transform(
-        F.sequence(F.lit(1), F.size(a) - (k - 1)), lambda i: F.xxhash64(F.slice(a, i, k))))
+    # windows of 8 as pairs of windows of 4, those as pairs of 2: two hashes a step instead of eight
+    pair = lambda n: lambda a: F.zip_with(a, F.slice(a, n + 1, F.greatest(F.size(a) - n, F.lit(1))), lambda x, y: F.xxhash64(x, y))
+    by_two = let(F.transform(w, lambda x: F.xxhash64(x)), pair(1))
+    hashes = F.slice(let(let(by_two, pair(2)), pair(4)), F.lit(1), F.size(w) - (k - 1))
     return F.when(F.size(w) > k, let(hashes, lambda h: F.when(
         F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0)))).otherwise(F.lit(0))
 
@@ -68,20 +70,16 @@ def base_rules(docs: DataFrame) -> DataFrame:
             .drop("__w"))
 
 
-def _lines(text: Column, host: Column) -> Column:
-    """``array<struct<h,n,t>>`` of all lines: hash with the host (NULL: no word), words, line."""
-    def of(line: Column) -> Column:
-        norm = F.regexp_replace(F.regexp_replace(F.lower(F.trim(line)), r"[\x20\x09-\x0D]+", " "), "[0-9]+", "0")
-        n = F.size(words(line))
-        return F.struct(F.when(n > 0, F.xxhash64(host, norm)).alias("h"), n.alias("n"), line.alias("t"))
-
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), of)
+def _hashes(text: Column, host: Column) -> Column:
+    """A hash of host and normalised line for each line of the text; NULL for lines without a word."""
+    norm = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
+    return F.transform(F.split(norm, "\n", -1), lambda x: let(F.trim(x), lambda y: F.when(y != "", F.xxhash64(host, y))))
 
 
 def boilerplate_lines(docs: DataFrame) -> DataFrame:
     """Hashes ``h`` (host and line) of the lines to remove; materialised."""
-    hashes = docs.select(F.xxhash64("text").alias("doc"), F.array_distinct(F.filter(F.transform(
-        _lines(F.col("text"), F.col("source")), lambda x: x["h"]), lambda h: h.isNotNull())).alias("lines"))
+    hashes = docs.select(F.xxhash64("text").alias("doc"), F.array_distinct(F.array_compact(
+        _hashes(F.col("text"), F.col("source")))).alias("lines"))
     often = durable(hashes.select(F.explode("lines").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
                     .where(F.col("n") >= MIN_DOCS).select("h"))
     bits = bitmap(often, "h")
@@ -95,54 +93,64 @@ def boilerplate_lines(docs: DataFrame) -> DataFrame:
                    .where((F.col("n") >= MIN_DOCS) & (F.col("m") >= MIN_VARIETY * F.col("n"))).select("h"))
 
 
-def _judged(docs: DataFrame, clean: bool) -> DataFrame:
-    """``docs`` with ``__left`` (words left) and, if ``clean``, ``__text`` (the text without removed lines)."""
-    bad = boilerplate_lines(docs)
+def _candidates(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """``docs`` with ``__at``: (hash, place, words) of the lines that may have to go."""
     bits = bitmap(bad, "h")
-    lines = docs.withColumn("__lines", _lines(F.col("text"), F.col("source")))
-    hit = F.exists("__lines", lambda x: F.coalesce(in_bitmap(x["h"], bits), F.lit(False)))
-    marked = lines.withColumn("__hit", hit).withColumn("__row", F.monotonically_increasing_id())
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    untouched = marked.where(~F.col("__hit")).select(*cols, F.col("n_words").alias("__left"), F.col("text").alias("__text"))
-    rows = (marked.where("__hit").select("__row", F.struct(*cols).alias("__doc"), F.posexplode("__lines").alias("__pos", "__line"))
-            .select("__row", "__pos", F.when(F.col("__pos") == 0, F.col("__doc")).alias("__doc"),
-                    F.col("__line.h").alias("h"), F.col("__line.n").alias("__n"),
-                    *([F.col("__line.t").alias("__t")] if clean else [])))
-    kept = rows.join(maybe_broadcast(bad.withColumn("__bad", F.lit(True)), 24), "h", "left")
-    good = F.col("__bad").isNull()
-    text = [F.sort_array(F.collect_list(F.when(good, F.struct("__pos", "__t")))).alias("__parts")] if clean else []
-    touched = kept.groupBy("__row").agg(F.first("__doc", ignorenulls=True).alias("__doc"),
-                                        F.sum(F.when(good, F.col("__n")).otherwise(0)).cast("long").alias("__left"), *text)
-    if clean:
-        touched = touched.withColumn("__text", F.array_join(F.transform("__parts", lambda p: p["__t"]), "\n"))
-    else:
-        touched = touched.withColumn("__text", F.lit(None).cast("string"))
-    return untouched.unionByName(touched.select("__doc.*", "__left", "__text"))
+    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+    at = F.filter(F.transform(_hashes(F.col("text"), F.col("source")), lambda h, i: F.when(
+        in_bitmap(h, bits), F.struct(h.alias("h"), i.alias("i")))), lambda x: x.isNotNull())
+    return docs.withColumn("__at", let(at, lambda a: F.when(F.size(a) > 0, let(lines, lambda x: F.transform(a, lambda c: F.struct(
+        c["h"].alias("h"), c["i"].alias("i"), F.size(words(F.get(x, c["i"]))).alias("n"))))))
+                           ).withColumn("__row", F.monotonically_increasing_id())
 
 
-def _verdict() -> Column:
-    return ~F.col("base_failed") & (F.col("__left") >= MIN_KEPT * F.col("n_words"))
+def _removed(rows: DataFrame, bad: DataFrame, keep: list[Column]) -> DataFrame:
+    """``rows`` (one per document and candidate line, ``__line`` NULL if there is none) by document: words and places to remove."""
+    known = rows.withColumn("h", F.col("__line.h")).join(maybe_broadcast(bad.withColumn("__bad", F.lit(True)), 24), "h", "left")
+    return known.groupBy("__row").agg(
+        *keep, F.coalesce(F.sum(F.when(F.col("__bad"), F.col("__line.n"))), F.lit(0)).cast("long").alias("__gone"),
+        F.collect_list(F.when(F.col("__bad"), F.col("__line.i"))).alias("__places"))
 
 
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
+def _verdict() -> Column:
+    return ~F.col("base_failed") & (F.col("n_words") - F.col("__gone") >= MIN_KEPT * F.col("n_words"))
+
+
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row per document: the base figures, ``kept``, and the words that removed lines leave."""
-    based = base_rules(docs.select("doc_id", "text", "source"))
-    return _judged(based, clean=False).select("doc_id", *FIGURES, _verdict().alias("kept"), F.col("__left").alias("words_left"))
+    docs = docs.select("doc_id", "text", "source")
+    bad = boilerplate_lines(docs)
+    figures = F.struct("doc_id", *FIGURES)
+    rows = (_candidates(base_rules(docs), bad).select("__row", figures.alias("__own"), F.explode_outer("__at").alias("__line")))
+    judged = _removed(rows, bad, [F.first("__own").alias("__own")]).select("__own.*", "__gone")
+    return judged.select("doc_id", *FIGURES, _verdict().alias("kept"), (F.col("n_words") - F.col("__gone")).alias("words_left"))
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that pass, without the removed lines; the columns of ``docs``."""
-    own = [c for c in docs.columns if c not in FIGURES]
-    saved = docs.select(*[F.col(f"`{c}`") for c in own], F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"))
-    out = _judged(base_rules(saved), clean=True).where(_verdict())
-    changed = ~F.col("__text").eqNullSafe(F.col("__own.text"))
-    fixed = {"text": F.col("__text")}
+    """The documents that pass, without the removed lines; the columns of ``docs``.
+
+    Documents without a candidate line go straight through; the others are put together again after the join.
+    """
+    bad = boilerplate_lines(docs.select("doc_id", "text", "source"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _candidates(docs.select("text", "source", own.alias("__own")), bad)
+    fine = base_rules(found.where(F.col("__at").isNull())).where(~F.col("base_failed")).select("__own.*")
+    rows = (found.where(F.col("__at").isNotNull()).select("__row", "__own", F.posexplode("__at").alias("__k", "__line"))
+            .select("__row", F.when(F.col("__k") == 0, F.col("__own")).alias("__own"), "__line"))
+    text = F.col("__own.text")
+    rest = _removed(rows, bad, [F.first("__own", ignorenulls=True).alias("__own")])
+    kept = base_rules(rest.withColumn("text", text)).where(_verdict())
+    changed = F.size("__places") > 0
+    clean = let(F.col("__places"), lambda gone: F.array_join(F.transform(F.filter(
+        F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+        lambda s: ~F.array_contains(gone, s["i"])), lambda s: s["x"]), "\n"))
+    fixed = {"text": F.when(changed, clean).otherwise(text)}
     if "n_chars" in docs.columns:
-        fixed["n_chars"] = F.when(changed, F.length("__text").cast("long")).otherwise(F.col("__own.n_chars"))
-    return out.select(*[fixed.get(c, F.col(f"__own.`{c}`")).alias(c) for c in docs.columns])
+        fixed["n_chars"] = F.when(changed, F.length(clean).cast("long")).otherwise(F.col("__own.n_chars"))
+    return fine.unionByName(kept.select(*[fixed.get(c, F.col(f"__own.`{c}`")).alias(c) for c in docs.columns]))
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
