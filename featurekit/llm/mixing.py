@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import durable, table, words
+from featurekit.llm.common import durable, maybe_broadcast, table, words
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -92,7 +92,7 @@ def mix(docs: DataFrame) -> DataFrame:
     by_source = durable(by_source.withColumn("__shards", F.ceil(F.col("__docs") / SHARD_DOCS))
                         .select(F.xxhash64("__src").alias("__s"), "__size", "__target", "__quota", "__shards"))
     # one row per source; joined by the hash of its name, so that NULL is a source too
-    dealt = (sized.withColumn("__s", F.xxhash64("__src")).join(by_source, "__s")
+    dealt = (sized.withColumn("__s", F.xxhash64("__src")).join(maybe_broadcast(by_source, 80), "__s")
              .withColumn("__shard", F.pmod(_number(F.col("__h")), F.col("__shards"))))
     shards = dealt.groupBy("__s", "__shard").agg(F.sum("size").alias("__words"), F.first("__quota").alias("__quota"))
     quotas = apportion(shards, ["__s"], [F.col("__shard")], "__words", "__quota", "__won").select("__s", "__shard", "__words", "__won")
