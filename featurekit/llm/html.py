@@ -6,8 +6,7 @@ tokens are those paths and the block texts at them.  Tokens of a host that have
 pairs, which Spark adds up like any other aggregate, so no host's pages ever meet in one task.
 
 A class is valid if it is on ``MIN_PAGES`` different pages of its host and has ``MIN_TOKENS`` tokens, among
-them a path: a text joins the paths that come with it, all prefixes of its own path included, so classes nest as
-the paths do.  Block texts of valid classes that at least ``MIN_SHARE`` of the host's pages have are the
+them a path: a text joins the paths that come with it, so classes nest as the paths do.  Block texts of valid classes that at least ``MIN_SHARE`` of the host's pages have are the
 template; pages with the same blocks count once, so copies of an article are no template.  What is left between the template's tokens are the
 slots: those inside elements for menus, headers, footers, sidebars, notices, adverts, forms, scripts and
 comments are dropped, and the rest, in page order, is the text.  If a page has an ``article`` or ``main``,
@@ -78,8 +77,8 @@ def _marked(name: str, attrs: str, inside: bool) -> tuple[bool, str]:
     return aside, name + label
 
 
-def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
-    """(path, text, set aside, in article or main) of each block with text, in page order."""
+def blocks(page: str | None, opened: list[str] | None = None) -> list[tuple[str, str, bool, bool]]:
+    """(path, text, set aside, in article or main) of each block with text, in page order; ``opened`` gets the path of every element."""
     page, out, at = page or "", [], 0
     stack: list[tuple[str, bool, bool, str]] = []      # name, set aside, inside article or main, path
     text: list[str] = []
@@ -128,6 +127,8 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
             own, label = _marked(name, m[3], inside)
             aside = aside or own
             stack.append((name, aside, inside or (name in ("article", "main") and not aside), f"{path}/{label}"))
+            if opened is not None:
+                opened.append(f"{path}/{label}")
     text.append(page[at:])
     flush()
     return out
@@ -147,8 +148,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols: tuple[list, ...] = ([], [], [], [], [])
         for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            found, host = blocks(page), _host(url)
-            paths = Counter(p for path, _, _, _ in found for p in _prefixes(path))
+            opened: list[str] = []
+            found, host = blocks(page, opened), _host(url)
+            paths = Counter(opened)
             texts = Counter((path, t) for path, t, _, _ in found)
             own = xxhash.xxh64_intdigest("\n".join(sorted(f"{p}\t{t}" for p, t in texts))) - (1 << 63)
             for key, n, is_text in [(_token(p), n, False) for p, n in paths.items()] + [(_token(*pt), n, True) for pt, n in texts.items()]:
@@ -158,11 +160,6 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cols, (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32()), strict=True)], ["host", "page", "token", "is_text", "n"])
 
 
-def _prefixes(path: str) -> list[str]:
-    parts = path.split("/")
-    return ["/".join(parts[:i]) for i in range(2, len(parts) + 1)]
-
-
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tokens): hashes of the block texts of each host's template; materialised."""
     seen = (pages.select("url", "html").mapInArrow(_tokens, "host string, page long, token long, is_text boolean, n int")
