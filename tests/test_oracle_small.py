@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from featurekit.oracle import oracle_sql
 from featurekit.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -29,7 +30,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - HEAVY))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
