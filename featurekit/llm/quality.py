@@ -4,8 +4,9 @@
    host (``source``).  A count of all lines finds those that occur in at least ``MIN_DOCS`` places.
 2. Of these alone, distinct documents are counted per host.  Copies are one document, not many: exact
    copies share a text hash, and a line is boilerplate only if its documents differ, that is, if their
-   sketches (least hash of a document's other lines) make up at least ``MIN_VARIETY`` of its distinct texts.
-   Otherwise a page copied a thousand times would lose every line of its own.
+   sketches (two least hashes of a document's other lines) make up at least ``MIN_VARIETY`` of its distinct texts.
+   Otherwise a page copied a thousand times would lose every line of its own.  Documents
+   that share all lines but one are near copies by this rule and stay for the near-duplicate operator.
 3. Lines above both limits are removed; a document is rejected if the base rules fail or if fewer than
    ``MIN_KEPT`` of its words are left.
 
@@ -83,12 +84,11 @@ def boilerplate_lines(docs: DataFrame) -> DataFrame:
     often = durable(hashes.select(F.explode("lines").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
                     .where(F.col("n") >= MIN_DOCS).select("h"))
     bits = bitmap(often, "h")
-    # the sketch of a line's document: the least hash among its other lines
-    few = (hashes.select("doc", F.slice(F.array_sort("lines"), 1, 2).alias("least"),
+    # the sketch of a line's document: the two least hashes among its other lines
+    few = (hashes.select("doc", F.slice(F.array_sort("lines"), 1, 3).alias("least"),
                          F.filter("lines", lambda h: in_bitmap(h, bits)).alias("lines"))
            .select("doc", "least", F.explode("lines").alias("h"))
-           .select("doc", "h", F.when(F.get("least", F.lit(0)) != F.col("h"), F.get("least", F.lit(0)))
-                   .otherwise(F.get("least", F.lit(1))).alias("sketch"))
+           .select("doc", "h", F.xxhash64(F.slice(F.array_remove("least", F.col("h")), 1, 2)).alias("sketch"))
            .join(maybe_broadcast(often, 16), "h", "left_semi"))
     per_doc = few.groupBy("h", "doc").agg(F.min("sketch").alias("sketch"))
     per_sketch = per_doc.groupBy("h", "sketch").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -163,8 +164,9 @@ def test_boilerplate_lines_and_copies(spark):
     out = {r.doc_id: r for r in quality.quality_filter(df).collect()}
     assert all("line" not in out[i].text.lower() and out[i].n_chars == len(out[i].text) for i in range(15))
     assert all(100 + i in out for i in range(30)) and "shared line" in out[200].text
-    depleted = spark.createDataFrame([(i, "\n".join(f"common line number {chr(97 + k)} of this host" for k in range(6)) + f"\nonly {i} {own(i)[:5]}", "e")
-                                      for i in range(20)], "doc_id long, text string, source string")
+    common = [f"common line {chr(97 + k)} with so many words that it weighs" for k in range(26)]
+    depleted = spark.createDataFrame([(i, "\n".join(random.Random(i).sample(common, 5)) + f"\nonly {own(i)[:5]}", "e")
+                                      for i in range(300)], "doc_id long, text string, source string")
     assert quality.quality_report(depleted).where("kept").count() == 0
 
 
