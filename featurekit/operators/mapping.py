@@ -53,6 +53,11 @@ class ValueMapperModel(StageModel):
         # Mapping into the column's own type keeps unmapped values verbatim.
         if isinstance(src, T.StringType) and isinstance(dt, T.StringType):
             return src
+        # Numbers mapped to numbers: wide enough for the values that stay.
+        if self.unmapped not in ("null", "error") and isinstance(src, T.NumericType) and isinstance(dt, T.NumericType):
+            if isinstance(src, T.FractionalType):
+                return T.DoubleType()
+            return T.LongType() if isinstance(src, T.LongType) and isinstance(dt, T.IntegralType) else dt
         return dt
 
     def _fallback(self, x: Column, src: T.DataType, dt: T.DataType) -> Column:
@@ -76,7 +81,8 @@ class ValueMapperModel(StageModel):
         if len(keyed) <= CASE_MAX_KEYS:
             expr = None
             for k, v in keyed:
-                cond = x == F.lit(k)
+                # a key of another kind is compared as the column's type; what can't be cast matches nothing
+                cond = x == (F.lit(k).try_cast(src) if isinstance(k, str) != isinstance(src, T.StringType) else F.lit(k))
                 expr = F.when(cond, _lit(v, dt)) if expr is None else expr.when(cond, _lit(v, dt))
             expr = fallback if expr is None else expr.otherwise(fallback)
         else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.contracts import col, require_columns, require_str
+from featurekit.contracts import col, nan_to_null, require_columns, require_str
 from featurekit.operators.base import Stage, StageModel
 
 
@@ -34,10 +34,11 @@ class OneHotModel(StageModel):
 
 
 class OneHot(Stage):
-    """Fit collects the sorted distinct values (bounded by ``max_categories``, checked);
+    """Fit collects the sorted distinct values, one output column each; NaN is missing, like NULL.
+    ``max_categories``, if given, is the caller's bound: more raise an error.  By default there is none;
     ``transform`` on the estimator itself re-derives them from the frame, as the reference does."""
 
-    def __init__(self, column: str, max_categories: int = 1000) -> None:
+    def __init__(self, column: str, max_categories: int | None = None) -> None:
         super().__init__()
         require_str(column, "OneHot")
         self.column, self.max_categories = column, max_categories
@@ -54,9 +55,11 @@ class OneHot(Stage):
     def _fit(self, df: DataFrame) -> OneHotModel:
         self.validate(df)
         x = col(self.column)
-        rows = (df.select(x.alias("v")).where(F.col("v").isNotNull()).distinct()
-                .orderBy("v").limit(self.max_categories + 1).collect())
-        if len(rows) > self.max_categories:
+        values = nan_to_null(df.select(x.alias("v"))).where(F.col("v").isNotNull()).distinct()
+        if self.max_categories is not None:
+            values = values.limit(self.max_categories + 1)
+        rows = values.orderBy("v").collect()
+        if self.max_categories is not None and len(rows) > self.max_categories:
             raise ValueError(f"OneHot: {self.column} has more than {self.max_categories} categories")
         return OneHotModel(self.column, [r["v"] for r in rows])
 
