@@ -18,8 +18,8 @@ from featurekit.operators import (CorrelationPruner, DropColumns, KeepColumns, K
 from featurekit.operators.correlation import pruning_decisions
 from featurekit.plans import evaluate as ev
 from featurekit.plans import split as sp
-from featurekit.plans.recipes import EVENT_MAP as EVENT_MAP_RECIPE  # noqa: F401
-from featurekit.plans.recipes import STATUS_MAP  # noqa: F401
+from featurekit.plans.recipes import (customer_like_recipe, customer_setup, homerun_like_recipe, passenger_like_recipe,
+                                      passenger_setup)
 from featurekit.sources import tables as src
 
 # Fixed values of the fixtures (FIXTURES.md): mappings, thresholds, seeds.
@@ -29,6 +29,7 @@ SWAP_MAP = {"A": "R", "R": "A"}
 THRESHOLDS_19 = [i / 18.0 for i in range(19)]
 THRESHOLDS_21 = [i / 20.0 for i in range(21)]
 SPLIT_SEED = 107
+SCAN_SEEDS = range(3)          # of the stability scan; split_stability itself takes 200 by default
 
 R6 = round6
 
@@ -89,6 +90,15 @@ def pearson_prune(spark, d):
     return pruning_decisions(_lineitem_numeric(spark, d), 0.9)
 
 
+def pearson_prune_apply(spark, d):
+    """The pruner itself, with keys and a label that it neither compares nor drops."""
+    li = src.read(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax",
+        (F.col("l_extendedprice") * 2 + F.col("l_tax")).alias("near_copy"), (F.col("l_extendedprice") * 3).alias("label"))
+    return _r6(CorrelationPruner(0.9, keep=["l_orderkey", "l_linenumber", "label"]).fit_transform(li),
+               ["l_extendedprice", "label"])
+
+
 # ---------------------------------------------------------------- O8-O11 clipping and scaling
 def sigma3_value(spark, d):
     e = src.read(spark, d, "events").select("event_id", "value")
@@ -122,7 +132,7 @@ def robust_price(spark, d):
 
 
 def robust_const(spark, d):
-    r = src.read(spark, d, "region").select("r_regionkey", F.lit(1).alias("constant"))
+    r = src.read(spark, d, "orders").select("o_orderkey", F.lit(1).alias("constant"))
     return RobustScale("constant").fit_transform(r)
 
 
@@ -144,6 +154,11 @@ def knn_align(spark, d):
     return _r6(model.transform(other), ["p_size", "p_retailprice"])
 
 
+def knn_impute_wide(spark, d):
+    pts = src.wide_gaps(spark, d)
+    return _r6(KnnImpute("vec_id", k=5).fit_transform(pts), pts.columns[1:])
+
+
 # ---------------------------------------------------------------- O14 target encoding
 def target_segment(spark, d):
     o = src.read(spark, d, "orders")
@@ -214,7 +229,7 @@ def best_flags(spark, d):
 # ---------------------------------------------------------------- O27 KNN classification
 def knn_classify(spark, d):
     pts = src.embedding_points(spark, d)
-    model = KnnClassifier("vec_id", "y", ["e0", "e1", "e2", "e3"], k=5).fit(pts)
+    model = KnnClassifier("vec_id", "y", k=5).fit(pts)
     return model.transform(pts).select("vec_id", "y", "prediction")
 
 
@@ -227,6 +242,7 @@ QUERIES = {
     "keep_cols": keep_cols,
     "pearson_pairs": pearson_pairs,
     "pearson_prune": pearson_prune,
+    "pearson_prune_apply": pearson_prune_apply,
     "sigma3_value": sigma3_value,
     "sigma3_missing": sigma3_missing,
     "tukey_inner": tukey_inner,
@@ -237,6 +253,7 @@ QUERIES = {
     "knn_impute_uniform": knn_impute_uniform,
     "knn_impute_distance": knn_impute_distance,
     "knn_align": knn_align,
+    "knn_impute_wide": knn_impute_wide,
     "target_segment": target_segment,
     "target_source_null": target_source_null,
     "split_rows": split_rows,
@@ -257,46 +274,36 @@ QUERIES = {
 def flagship(spark, d):
     """Recipe A's shape prepared on orders x customer, then the sweep of the segment encoding as a
     score over the prepared test rows."""
-    from featurekit.plans.recipes import passenger_like_recipe
-
     df = src.passenger_like(spark, d)
     _, test, _ = sp.prepare(df, "y", passenger_like_recipe(), "o_orderkey", SPLIT_SEED, 0.2)
-    return ev.threshold_sweep(test, THRESHOLDS_19, "y", "c_mktsegment")
+    return ev.threshold_sweep(test, THRESHOLDS_19, "y", "port")
 
 
 # ---------------------------------------------------------------- O18-O20 recipes, O26, O28
-def _prepared(df, chain, label, key):
-    train, test, _ = sp.prepare(df, label, chain, key, SPLIT_SEED, 0.2)
-    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+def _both_sides(train, test):
+    out = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    return _r6(out, [c for c, t in out.dtypes if t == "double"])
 
 
 def recipe_a(spark, d):
-    from featurekit.plans.recipes import passenger_like_recipe
-
-    out = _prepared(src.passenger_like(spark, d), passenger_like_recipe(), "y", "o_orderkey")
-    return _r6(out, ["o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal"])
+    train, test, _ = passenger_setup(src.passenger_like(spark, d), "o_orderkey", passenger_like_recipe(), "y")
+    return _both_sides(train, test)
 
 
 def recipe_b(spark, d):
-    from featurekit.plans.recipes import customer_like_recipe
-
-    out = _prepared(src.customer_like(spark, d), customer_like_recipe(), "y", "event_id")
-    return _r6(out, ["event_type", "user_bucket", "value"])
+    train, test, _ = customer_setup(src.customer_like(spark, d), "event_id", customer_like_recipe(), "y")
+    return _both_sides(train, test)
 
 
 def recipe_c(spark, d):
-    from featurekit.plans.recipes import homerun_like_recipe
-
-    out = _prepared(src.homerun_like(spark, d), homerun_like_recipe(), "y", "doc_id")
-    return _r6(out, ["lang", "source", "n_chars"])
+    train, test, _ = sp.prepare(src.homerun_like(spark, d), "y", homerun_like_recipe(), "doc_id", SPLIT_SEED, 0.2)
+    return _both_sides(train, test)
 
 
 def split_scan(spark, d):
-    from featurekit.plans.recipes import homerun_like_recipe
     from featurekit.plans.search import split_stability
 
-    best, res = split_stability(src.homerun_like(spark, d), "y", "doc_id", homerun_like_recipe(), seeds=range(3),
-                                features=["lang", "source", "n_chars"])
+    best, res = split_stability(src.homerun_like(spark, d), "y", "doc_id", homerun_like_recipe(), seeds=SCAN_SEEDS)
     return _r6(res.withColumn("chosen", F.col("seed") == F.lit(best)), ["train_f1", "test_f1", "ratio"])
 
 

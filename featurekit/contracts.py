@@ -78,6 +78,13 @@ def nan_to_null(df: DataFrame, cols=None) -> DataFrame:
     return df.select(*exprs)
 
 
+def require_unique(df: DataFrame, key: str, who: str) -> None:
+    """Raises when two rows share a key (partial counts inside the tasks first, then one shuffle of keys)."""
+    twice = df.groupBy(col(key).alias("k")).count().where("count > 1").select("k").take(1)
+    if twice:
+        raise ValueError(f"{who}: key {key!r} is not unique ({twice[0][0]!r} occurs more than once)")
+
+
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in set(exclude)]

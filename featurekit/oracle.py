@@ -7,6 +7,8 @@ columns with ``round_even(x * 100, 0) / 100`` (numpy's rule).
 from __future__ import annotations
 
 from featurekit import catalogue as cat
+from featurekit.plans import recipes as rec
+from featurekit.sources import tables as src
 
 
 def _case_map(expr: str, mapping: dict, else_sql: str) -> str:
@@ -178,6 +180,8 @@ SELECT value, 'value_without_key' AS side FROM (SELECT o_orderpriority AS value
 WITH x AS ({LINEITEM_X}), p AS (SELECT j, CASE WHEN isnan(r) THEN NULL ELSE r END AS r FROM ({_pairs_sql()}))
 SELECT n.col_pos, n.col_name, coalesce(bool_or(abs(p.r) > 0.9), false) AS dropped
 FROM (VALUES {names}) n(col_pos, col_name) LEFT JOIN p ON p.j = n.col_pos GROUP BY n.col_pos, n.col_name"""
+    sql["pearson_prune_apply"] = """SELECT l_orderkey, l_linenumber, l_quantity, round(l_extendedprice, 6) AS l_extendedprice,
+ l_tax, round(l_extendedprice * 3, 6) AS label FROM lineitem"""
     sql["sigma3_value"] = _sigma_sql("events", "event_id", "value")
     sql["sigma3_missing"] = _sigma_sql(
         "(SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer)",
@@ -190,9 +194,9 @@ WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_ex
                   quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
 SELECT l_orderkey, l_linenumber, round((l_extendedprice - med) / (q3 - q1), 6) AS l_extendedprice FROM lineitem, q"""
     sql["robust_const"] = """
-WITH r AS (SELECT r_regionkey, 1.0::DOUBLE AS c FROM region),
+WITH r AS (SELECT o_orderkey, 1.0::DOUBLE AS c FROM orders),
  q AS (SELECT quantile_cont(c, 0.25) AS q1, quantile_cont(c, 0.5) AS med, quantile_cont(c, 0.75) AS q3 FROM r)
-SELECT r_regionkey, CASE WHEN q3 - q1 = 0 THEN c ELSE (c - med) / (q3 - q1) END AS constant FROM r, q"""
+SELECT o_orderkey, CASE WHEN q3 - q1 = 0 THEN c ELSE (c - med) / (q3 - q1) END AS constant FROM r, q"""
     sql["knn_impute_uniform"] = _knn_impute_sql(PARTS, PARTS, "uniform")
     sql["knn_impute_distance"] = _knn_impute_sql(PARTS, PARTS, "distance")
     sql["knn_align"] = _knn_impute_sql(PARTS, "SELECT k, NULL::DOUBLE AS f0, f1 FROM (" + PARTS + ")", "uniform")
@@ -239,7 +243,7 @@ WITH w AS ({_sweep_sql(19, None)})
 SELECT *, precision = max(precision) OVER () AS best_precision, recall = max(recall) OVER () AS best_recall,
   f1 = max(f1) OVER () AS best_f1, accuracy = max(accuracy) OVER () AS best_accuracy, auc = max(auc) OVER () AS best_auc
 FROM w"""
-    dims = 4
+    dims = 64
     emb = ("SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(dims))
            + ", CAST(label >= 5 AS INTEGER) AS y FROM embeddings")
     terms = [f"(q.e{i} - d.e{i}) * (q.e{i} - d.e{i})" for i in range(dims)]
@@ -252,7 +256,12 @@ WITH e AS ({emb}),
          ORDER BY sqrt({float(dims)}::DOUBLE / {dims} * ({ss})), d.vec_id) AS rn FROM e q, e d)
 SELECT e.vec_id, e.y, CAST(avg(r.dy) > 0.5 AS INTEGER) AS prediction FROM r JOIN e ON e.vec_id = r.qk
 WHERE r.rn <= 5 GROUP BY e.vec_id, e.y"""
+    wide = [f"e{i}" for i in range(9)]
+    gaps = ", ".join(f"CASE WHEN (vec_id * {2 * i + 3} + {i}) % 10 < 3 THEN NULL ELSE CAST(embedding[{i + 1}] AS DOUBLE) END AS e{i}"
+                     for i in range(9))
+    sql["knn_impute_wide"] = _knn_generic(f"w AS (SELECT vec_id, {gaps} FROM embeddings)", "w", "w", "vec_id", wide, [])
     sql.update(recipe_sql())
+    sql["split_scan"] = _split_scan_sql(cat.SCAN_SEEDS)
     return sql
 
 
@@ -313,55 +322,82 @@ def _robust(column: str, q: str) -> str:
     return (f"CASE WHEN {q}.q3 - {q}.q1 = 0 THEN {column} ELSE ({column} - {q}.med) / ({q}.q3 - {q}.q1) END")
 
 
+def _recipe(base: str, key: str, seed: int, columns: dict, maps: dict, encoders: dict, clipped: list[str], width: float) -> tuple:
+    """(CTEs up to ``t2``, the rows before imputation, and ``fitrows``, those of them in training; feature names)."""
+    feats = [c for c in columns if c != "y"]
+    split = _split_cte(f"(SELECT {key}, {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {base})", "y", key, seed, 0.2)
+    ctes = [split.strip(), "g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test)"]
+    first, second, joins = [], [], ["split s CROSS JOIN g"]
+    for i, c in enumerate(feats):
+        if c in maps:
+            first.append(f"CAST({_case_map('s.' + c, maps[c], f'TRY_CAST(s.{c} AS BIGINT)')} AS DOUBLE) AS {c}")
+        elif c in encoders:
+            ctes.append(_enc(f"e{i}", c, encoders[c]).strip())
+            first.append(f"{_enc_expr(f'e{i}', encoders[c])} AS {c}")
+            joins.append(f"LEFT JOIN e{i} ON s.{c} = e{i}.v")
+        else:
+            ctes.append(_quartiles(f"t{i}q", "split", c).strip())
+            first.append(f"{_clip('s.' + c, f't{i}q', width)} AS {c}")
+            joins.append(f"CROSS JOIN t{i}q")
+    ctes.append(f"t1 AS (SELECT s.{key}, s.y, s.is_test, {', '.join(first)} FROM {' '.join(joins)})")
+    scaled = ["t1"]
+    for i, c in enumerate(feats):
+        if c in clipped:
+            ctes.append(_quartiles(f"r{i}q", "t1", c, median=True).strip())
+            second.append(f"{_robust(c, f'r{i}q')} AS {c}")
+            scaled.append(f"r{i}q")
+        else:
+            second.append(c)
+    ctes.append(f"t2 AS (SELECT {key}, y, is_test, {', '.join(second)} FROM {', '.join(scaled)})")
+    ctes.append("fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
+    return ",\n ".join(ctes), feats
+
+
+HOMERUN_BASE = "documents JOIN labels USING (doc_id)"
+HOMERUN_ENCODERS = {"home_team": 10.0, "batter_team": 10.0, "away_team": 10.0, "batter_name": 15.0, "pitcher_name": 15.0,
+                    "bb_type": 5.0, "bearing": 5.0}
+
+
+def _homerun_sql(seed: int) -> str:
+    ctes, feats = _recipe(HOMERUN_BASE, "doc_id", seed, src.HOMERUN, {}, HOMERUN_ENCODERS, ["launch_speed", "launch_angle"], 3.0)
+    return _knn_generic(ctes, "fitrows", "t2", "doc_id", feats, ["y"], extra=["is_test"])
+
+
 def recipe_sql() -> dict[str, str]:
-    seed = cat.SPLIT_SEED
-    out = {}
-    # recipe C shape: documents x labels
-    base_c = ("(SELECT d.doc_id, d.lang, d.source, CASE WHEN d.doc_id % 5 = 0 THEN NULL ELSE CAST(d.n_chars AS DOUBLE) "
-              "END AS n_chars, l.toxic AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
-    pre_c = (_split_cte(base_c, "y", "doc_id", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
-             + _enc("e1", "lang", 10.0) + ",\n" + _enc("e2", "source", 15.0) + ",\n"
-             + _quartiles("tq", "split", "n_chars") + ",\n"
-             + f" t1 AS (SELECT s.doc_id, s.y, s.is_test, {_enc_expr('e1', 10.0)} AS lang, {_enc_expr('e2', 15.0)} AS source, "
-             + f"{_clip('s.n_chars', 'tq', 3.0)} AS n_chars FROM split s CROSS JOIN g CROSS JOIN tq "
-             + "LEFT JOIN e1 ON s.lang = e1.v LEFT JOIN e2 ON s.source = e2.v),\n"
-             + _quartiles("rq", "t1", "n_chars", median=True) + ",\n"
-             + f" t2 AS (SELECT doc_id, y, is_test, lang, source, {_robust('n_chars', 'rq')} AS n_chars FROM t1, rq),\n"
-             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
-    out["recipe_c"] = _knn_generic(pre_c, "fitrows", "t2", "doc_id", ["lang", "source", "n_chars"], ["y"],
-                                   extra=["is_test"])
-    # recipe B shape: events
-    ev_case = _case_map("event_type", cat.EVENT_MAP_RECIPE, "TRY_CAST(event_type AS BIGINT)")
-    base_b = ("(SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS event_type, "
-              "CAST(user_id % 10 AS VARCHAR) AS user_bucket, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, "
-              "CAST(event_id % 3 = 0 AS INTEGER) AS y FROM events)")
-    pre_b = (_split_cte(base_b, "y", "event_id", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
-             + _enc("e1", "user_bucket", 10.0) + ",\n" + _quartiles("tq", "split", "value") + ",\n"
-             + f" t1 AS (SELECT s.event_id, s.y, s.is_test, CAST({ev_case.replace('event_type', 's.event_type')} AS DOUBLE) AS event_type, "
-             + f"{_enc_expr('e1', 10.0)} AS user_bucket, {_clip('s.value', 'tq', 1.5)} AS value "
-             + "FROM split s CROSS JOIN g CROSS JOIN tq LEFT JOIN e1 ON s.user_bucket = e1.v),\n"
-             + _quartiles("rq", "t1", "value", median=True) + ",\n"
-             + f" t2 AS (SELECT event_id, y, is_test, event_type, user_bucket, {_robust('value', 'rq')} AS value FROM t1, rq),\n"
-             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
-    out["recipe_b"] = _knn_generic(pre_b, "fitrows", "t2", "event_id", ["event_type", "user_bucket", "value"], ["y"],
-                                   extra=["is_test"])
-    # recipe A shape: orders x customer
-    st_case = _case_map("s.o_orderstatus", cat.STATUS_MAP, "TRY_CAST(s.o_orderstatus AS BIGINT)")
-    base_a = ("(SELECT o.o_orderkey, o.o_orderstatus, c.c_mktsegment, CASE WHEN o.o_orderkey % 5 = 0 THEN NULL "
-              "WHEN o.o_orderkey % 97 = 0 THEN o.o_totalprice * 50 ELSE o.o_totalprice END AS o_totalprice, "
-              "CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal, "
-              "CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS y FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)")
-    pre_a = (_split_cte(base_a, "y", "o_orderkey", seed, 0.2).lstrip() + ",\n g AS (SELECT avg(y) AS gm FROM split WHERE NOT is_test),\n"
-             + _enc("e1", "c_mktsegment", 10.0) + ",\n" + _quartiles("tp", "split", "o_totalprice") + ",\n"
-             + _quartiles("ta", "split", "c_acctbal") + ",\n"
-             + f" t1 AS (SELECT s.o_orderkey, s.y, s.is_test, CAST({st_case} AS DOUBLE) AS o_orderstatus, "
-             + f"{_enc_expr('e1', 10.0)} AS c_mktsegment, {_clip('s.o_totalprice', 'tp', 3.0)} AS o_totalprice, "
-             + f"{_clip('s.c_acctbal', 'ta', 3.0)} AS c_acctbal "
-             + "FROM split s CROSS JOIN g CROSS JOIN tp CROSS JOIN ta LEFT JOIN e1 ON s.c_mktsegment = e1.v),\n"
-             + _quartiles("rp", "t1", "o_totalprice", median=True) + ",\n" + _quartiles("ra", "t1", "c_acctbal", median=True)
-             + ",\n t2 AS (SELECT o_orderkey, y, is_test, o_orderstatus, c_mktsegment, "
-             + f"{_robust('o_totalprice', 'rp')} AS o_totalprice, {_robust('c_acctbal', 'ra')} AS c_acctbal FROM t1, rp, ra),\n"
-             + " fitrows AS (SELECT * FROM t2 WHERE NOT is_test)")
-    out["recipe_a"] = _knn_generic(pre_a, "fitrows", "t2", "o_orderkey",
-                                   ["o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal"], ["y"], extra=["is_test"])
+    out = {"recipe_c": _homerun_sql(cat.SPLIT_SEED)}
+    ctes, feats = _recipe("events", "event_id", rec.CUSTOMER_SEED, src.CUSTOMER,
+                          {"os": rec.OS_MAP, "experience": rec.LEVEL_MAP, "gender": rec.GENDER_MAP}, {"isp": 10.0},
+                          ["age", "time_spent"], 1.5)
+    out["recipe_b"] = _knn_generic(ctes, "fitrows", "t2", "event_id", feats, ["y"], extra=["is_test"])
+    ctes, feats = _recipe("orders JOIN customer ON o_custkey = c_custkey", "o_orderkey", rec.PASSENGER_SEED, src.PASSENGER,
+                          {"gender": rec.GENDER_MAP, "cabin": rec.CLASS_MAP}, {"port": 10.0}, ["age", "fare"], 3.0)
+    out["recipe_a"] = _knn_generic(ctes, "fitrows", "t2", "o_orderkey", feats, ["y"], extra=["is_test"])
     return out
+
+
+def _split_scan_sql(seeds) -> str:
+    """Per seed: recipe C, a 5-nearest-neighbour vote of its training rows, F1 on both sides; then the choice."""
+    feats = [c for c in src.HOMERUN if c != "y"]
+    terms = [f"(q.{f} - d.{f}) * (q.{f} - d.{f})" for f in feats]
+    ss = terms[0]
+    for t in terms[1:]:
+        ss = f"({ss}) + {t}"
+    parts = [f"""SELECT {seed} AS seed, q.doc_id, q.y, q.is_test, d.y AS dy, row_number() OVER (PARTITION BY q.doc_id
+         ORDER BY sqrt({ss}), d.doc_id) AS rn FROM p{seed} q, p{seed} d WHERE NOT d.is_test""" for seed in seeds]
+    prepared = ",\n ".join(f"p{seed} AS ({_homerun_sql(seed).replace('round(', '(').replace(', 6)', ')')})" for seed in seeds)
+    f1 = "2 * {0} / nullif(2 * {0} + {1} + {2}, 0)"
+
+    def count(test: str, y: int, pred: int) -> str:
+        return f"sum(CASE WHEN {test} AND y = {y} AND p = {pred} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+    train, tests = [f1.format(*[count(t, *yp) for yp in ((1, 1), (0, 1), (1, 0))]) for t in ("NOT is_test", "is_test")]
+    return f"""
+WITH {prepared},
+ near AS ({" UNION ALL ".join(parts)}),
+ votes AS (SELECT seed, doc_id, y, is_test, CAST(avg(dy) > 0.5 AS INTEGER) AS p FROM near WHERE rn <= 5 GROUP BY ALL),
+ f AS (SELECT seed, coalesce({train}, 0) AS train_f1, coalesce({tests}, 0) AS test_f1 FROM votes GROUP BY seed),
+ r AS (SELECT seed, train_f1, CASE WHEN train_f1 >= 0.1 THEN test_f1 END AS test_f1,
+       CASE WHEN train_f1 >= 0.1 THEN test_f1 / train_f1 END AS ratio, train_f1 < 0.1 AS skipped FROM f),
+ c AS (SELECT seed AS best FROM r WHERE NOT skipped ORDER BY abs(ratio - (SELECT avg(ratio) FROM r)), seed LIMIT 1)
+SELECT seed, round(train_f1, 6) AS train_f1, round(test_f1, 6) AS test_f1, round(ratio, 6) AS ratio, skipped,
+       seed = best AS chosen FROM r, c"""
