@@ -3,10 +3,13 @@
 1. Lines are normalised (lower case, digits folded, white space folded) and hashed together with their
    host (``source``).  A count of all lines finds those that occur in at least ``MIN_DOCS`` places.
 2. Of these alone, distinct documents are counted per host.  Copies are one document, not many: exact
-   copies share a text hash, and a line is boilerplate only if its documents differ, that is, if their
-   sketches (two least hashes of a document's other lines) make up at least ``MIN_VARIETY`` of its distinct texts.
-   Otherwise a page copied a thousand times would lose every line of its own.  Documents
-   that share all lines but one are near copies by this rule and stay for the near-duplicate operator.
+   copies share a text hash, near copies are told by what a document has of its own.  Its own lines are those not
+   counted in 1, but for edits of such lines (half of the line's word pairs stand in counted lines of the host).
+   The least hash of the own lines' word pairs is the document's class, however many lines a template has.
+   Documents without a line of their own are told apart by the two least hashes of their other counted lines.
+   A line is boilerplate if its documents are of ``MIN_DOCS`` classes and the classes are at least ``MIN_VARIETY``
+   of the documents, either among those with own lines or among all.  Otherwise a page copied a thousand times
+   would lose every line of its own.
 3. Lines above both limits are removed; a document is rejected if the base rules fail or if fewer than
    ``MIN_KEPT`` of its words are left.
 
@@ -27,7 +30,7 @@ MAX_REPEAT_PCT = 30
 REPEAT_WINDOW = 8
 #: A line is removed from a host if at least so many distinct documents of the host have it ...
 MIN_DOCS = 10
-#: ... and the documents' sketches are at least this share of them, so that copies don't count as many.
+#: ... and the documents' classes are at least this share of them, so that copies don't count as many.
 MIN_VARIETY = 0.5
 #: A document that keeps a smaller share of its words is depleted.
 MIN_KEPT = 0.2
@@ -71,29 +74,58 @@ def base_rules(docs: DataFrame) -> DataFrame:
             .drop("__w"))
 
 
+def _lines(text: Column) -> Column:
+    """The normalised lines of the text, empty ones too."""
+    norm = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
+    return F.transform(F.split(norm, "\n", -1), lambda x: F.trim(x))
+
+
 def _hashes(text: Column, host: Column) -> Column:
     """A hash of host and normalised line for each line of the text; NULL for lines without a word."""
-    norm = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
-    return F.transform(F.split(norm, "\n", -1), lambda x: let(F.trim(x), lambda y: F.when(y != "", F.xxhash64(host, y))))
+    return F.transform(_lines(text), lambda y: F.when(y != "", F.xxhash64(host, y)))
+
+
+def _pairs(line: Column, host: Column) -> Column:
+    """Hashes of host and word pair of a normalised line (of its word, if it has but one)."""
+    return let(F.split(line, " "), lambda w: F.array_distinct(F.zip_with(
+        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(1))), F.slice(w, 2, F.size(w)), lambda x, y: F.xxhash64(host, x, y))))
 
 
 def boilerplate_lines(docs: DataFrame) -> DataFrame:
     """Hashes ``h`` (host and line) of the lines to remove; materialised."""
-    hashes = docs.select(F.xxhash64("text").alias("doc"), F.array_distinct(F.array_compact(
-        _hashes(F.col("text"), F.col("source")))).alias("lines"))
+    host = F.col("source")
+    hashes = docs.select(F.array_distinct(F.array_compact(_hashes(F.col("text"), host))).alias("lines"))
     often = durable(hashes.select(F.explode("lines").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
                     .where(F.col("n") >= MIN_DOCS).select("h"))
     bits = bitmap(often, "h")
-    # the sketch of a line's document: the two least hashes among its other lines
-    few = (hashes.select("doc", F.slice(F.array_sort("lines"), 1, 3).alias("least"),
-                         F.filter("lines", lambda h: in_bitmap(h, bits)).alias("lines"))
-           .select("doc", "least", F.explode("lines").alias("h"))
-           .select("doc", "h", F.xxhash64(F.slice(F.array_remove("least", F.col("h")), 1, 2)).alias("sketch"))
-           .join(maybe_broadcast(often, 16), "h", "left_semi"))
-    per_doc = few.groupBy("h", "doc").agg(F.min("sketch").alias("sketch"))
-    per_sketch = per_doc.groupBy("h", "sketch").agg(F.count("*").alias("n"))
-    return durable(per_sketch.groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
-                   .where((F.col("n") >= MIN_DOCS) & (F.col("m") >= MIN_VARIETY * F.col("n"))).select("h"))
+    known = maybe_broadcast(often.withColumn("known", F.lit(True)), 16)
+    lines = docs.select(F.xxhash64("text", "source").alias("doc"), "source", F.array_distinct(F.transform(
+        F.filter(_lines(F.col("text")), lambda y: y != ""), lambda y: F.struct(F.xxhash64(host, y).alias("h"), y.alias("y")))).alias("lines"))
+    # the word pairs of the counted lines
+    counted = (lines.select("source", F.explode(F.filter("lines", lambda x: in_bitmap(x["h"], bits))).alias("x"))
+               .select("source", "x.h", "x.y").join(known, "h", "left_semi").groupBy("h").agg(F.first("source").alias("source"), F.first("y").alias("y")))
+    pairs = durable(counted.select(F.explode(_pairs(F.col("y"), host)).alias("pair")).distinct())
+    pair_bits = bitmap(pairs, "pair")
+    # the lines of documents with a counted line; word pairs go on only of lines that may be edits
+    rows = (lines.where(F.exists("lines", lambda x: in_bitmap(x["h"], bits))).select("doc", "source", F.explode("lines").alias("x"))
+            .select("doc", "source", "x.h", "x.y").join(known, "h", "left")
+            .select("doc", "h", "known", F.when(F.col("known").isNull(), _pairs(F.col("y"), host)).alias("pairs"))
+            .withColumn("edit", F.when(2 * F.size(F.filter("pairs", lambda p: in_bitmap(p, pair_bits))) >= F.size("pairs"), F.col("pairs")))
+            .select("doc", "h", "known", F.array_min("pairs").alias("least"), F.explode_outer("edit").alias("pair"))
+            .join(maybe_broadcast(pairs.withColumn("hit", F.lit(1)), 16), "pair", "left"))
+    per_line = rows.groupBy("doc", "h").agg(F.first("known").alias("known"), F.first("least").alias("least"),
+                                            F.count("pair").alias("pairs"), F.count("hit").alias("hits"))
+    own = F.col("known").isNull() & ((F.col("pairs") == 0) | (2 * F.col("hits") < F.col("pairs")))
+    per_doc = (per_line.groupBy("doc").agg(F.min(F.when(own, F.col("least"))).alias("own"),
+                                           F.sort_array(F.collect_list(F.when(F.col("known"), F.col("h")))).alias("lines"))
+               .select("own", F.slice("lines", 1, 3).alias("first"), F.explode("lines").alias("h")))
+    others = F.xxhash64(F.slice(F.array_remove("first", F.col("h")), 1, 2))
+    per_class = (per_doc.select("h", F.col("own").isNotNull().alias("own"), F.coalesce("own", others).alias("class"))
+                 .groupBy("h", "own", "class").agg(F.count("*").alias("n")))
+    count = lambda c: (F.sum(F.when(c, F.col("n"))), F.count(F.when(c, 1)))
+    varied = lambda n, m: F.coalesce((m >= MIN_DOCS) & (m >= MIN_VARIETY * n), F.lit(False))
+    return durable(per_class.groupBy("h").agg((varied(*count(F.col("own"))) | varied(*count(F.lit(True)))).alias("bad"))
+                   .where("bad").select("h"))
 
 
 def _candidates(docs: DataFrame, bad: DataFrame) -> DataFrame:

@@ -170,6 +170,46 @@ def test_boilerplate_lines_and_copies(spark):
     assert quality.quality_report(depleted).where("kept").count() == 0
 
 
+def test_templates_of_any_size_and_near_copies(spark):
+    rng = random.Random(3)
+    line = lambda n=12: " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n))
+    rows, templates, copies = [], {}, {}
+    for t, o in ((5, 1), (8, 2), (20, 3), (30, 2)):                     # t template lines and o own lines
+        shared = [line() for _ in range(t)]
+        for k in range(60):
+            own = [line() for _ in range(o)]
+            templates[len(rows)] = own
+            rows.append((len(rows), "\n".join(shared[:t // 2] + own + shared[t // 2:]), f"t{t}"))
+    for size in (3, 4, 5):                                              # near copies: one word of one line is another
+        page = [line().split() for _ in range(size)]
+        for fixed in (False, True):                                     # of any line, or always of the second
+            for k in range(60):
+                edited = [list(x) for x in page]
+                edited[1 if fixed else rng.randrange(size)][rng.randrange(12)] = f"new{line(1)}"
+                copies[len(rows)] = text = "\n".join(" ".join(x) for x in edited)
+                rows.append((len(rows), text, f"c{size}{fixed}"))
+    mixed = line()                                                      # a boilerplate line, also on a page copied nearly many times
+    page = [line().split() for _ in range(4)]
+    for k in range(75):
+        edited = [list(x) for x in page]
+        edited[rng.randrange(4)][rng.randrange(12)] = f"new{line(1)}"
+        text = line(30) if k < 15 else "\n".join(" ".join(x) for x in edited)
+        copies[len(rows)] = text
+        rows.append((len(rows), f"{text}\n{mixed}", "m"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    gone = {r.h for r in quality.boilerplate_lines(df).collect()}
+    by_line = df.select("doc_id", F.posexplode(F.split("text", "\n"))).join(df.select(
+        "doc_id", F.posexplode(quality._hashes(F.col("text"), F.col("source"))).alias("pos", "h")), ["doc_id", "pos"]).collect()
+    left = {i: [] for i, _, _ in rows}
+    for r in sorted(by_line, key=lambda r: r.pos):
+        if r.h not in gone:
+            left[r.doc_id].append(r["col"])
+    assert all(left[i] == own for i, own in templates.items())
+    assert all(left[i] == text.split("\n") for i, text in copies.items())
+    kept = {r.doc_id for r in quality.quality_report(df).where("kept").collect()}
+    assert set(copies) <= kept and not kept & {i for i, own in templates.items() if rows[i][2] in ("t20", "t30")}
+
+
 def test_decontamination(spark, awkward):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(LONG.split()[500:540])), (2, None), (None, "a b c d e"), (4, "")], "item_id long, text string")
     got = Counter(tuple(r) for r in decontaminate.contamination(awkward, items).select("doc_id", "n_hit", "n_items", "contaminated").collect())
