@@ -78,6 +78,29 @@ def test_base_spans(spark, awkward, documents, operator, base, names):
             assert set(filter(None, spans_text(names, base(text[r.doc_id] or "")).split(","))) <= set(r.spans.split(","))
 
 
+def test_obfuscated_personal_data(spark):
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    hexes = lambda n: ":".join("".join(rng.choices("0123456789abcdef", k=n)) for _ in range(8))
+    forms = [lambda: (f"ann{digits(2)} (at) mail (dot) org", "address"), lambda: (f"bob{digits(3)}[at]host{digits(1)}.example[dot]net", "address"),
+             lambda: (f"eve @ mail{digits(2)} . com", "address"), lambda: (f"+49/30/{digits(7)}", "digits"),
+             lambda: (hexes(4), "dotted"), lambda: (f"x{digits(2)}@mail.org", None), lambda: (f"1{digits(2)}.2.{digits(2)}.9.{digits(1)}.7", None),
+             lambda: (f"{digits(6)}", None), lambda: (f"see you @ home{digits(1)}", None)]
+    rows, want = [], {}
+    for i in range(900):
+        text, kind = forms[i % len(forms)]()
+        rows.append((i, f"please write to {text}. Then wait"))
+        if kind:
+            want[i] = f"{kind}:16:{16 + len(text)}"
+    got = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    found = sum(w in got[i].split(",") for i, w in want.items())
+    wrong = [i for i, x in got.items() if i not in want and any(s.split(":")[0] in pii.KINDS[pii.BASE:] for s in x.split(",") if s)]
+    assert found >= 0.95 * len(want) and len(wrong) <= 0.05 * len(rows)
+    # candidates of one label alone
+    only = spark.createDataFrame([r for r in rows if r[0] % len(forms) == 0], "doc_id long, text string")
+    assert all(r.spans == want[r.doc_id] for r in pii.find_pii(only).collect())
+
+
 def test_entropy_spans(spark):
     rows = [(1, "key Zx9Qw7Er5Ty3Ui1Op0As2Df4Gh6Jk8Lz5Xc3 end"), (2, "550e8400-e29b-41d4-a716-446655440000"), (3, "a" * 40 + "1"), (4, "some_snake_case_identifier_2024")]
     got = {r.doc_id: r.spans for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
