@@ -7,10 +7,10 @@ next shorter context's (C: count of the context, D: distinct bytes after it; a c
 nothing; below order 0 all bytes are alike).  Counts are frozen after training.  A text's language is the one
 whose tree codes all its bytes in the fewest bits; the score is that language's posterior.
 
-Counts cover all training documents: tasks count the byte strings of their texts, Spark adds them up.  A
-tree keeps the ``MAX_GRAMS`` most frequent byte strings of a language (a bound on the model, not on
-the text read), so what is sent to the tasks is at most MAX_GRAMS * languages rows.  Code lengths of all known
-strings are worked out once; scoring looks strings up, in pieces of ``PIECE`` bytes.
+Counts cover all training documents and all their byte strings: tasks count the strings of their texts, Spark
+adds them up.  Up to ``MAX_GRAMS`` strings a language on average, the code lengths of all known strings are worked
+out once and sent to the tasks, and scoring looks strings up, in pieces of ``PIECE`` bytes.  Beyond that the counts
+stay in Spark, and the code lengths of the strings asked for come by joins; no string is dropped.
 
 NULL texts, and texts without a letter, are ``und`` with score 0.  Ties go to the first language by code
 point.  Without training rows everything is ``und``.
@@ -23,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import table
+from featurekit.llm.common import durable, table
 
 ORDER = 3
 MAX_GRAMS = 150_000
@@ -80,13 +80,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(code.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
 
-def train(docs: DataFrame) -> dict:
-    """The frozen model of (lang, text) rows: known byte strings and their code length in every language."""
+def train(docs: DataFrame) -> dict | DataFrame:
+    """The counts of (lang, text) rows: frozen (known byte strings and their code length in every language) if they may be broadcast."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    grams = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    kept = grams.withColumn("r", F.row_number().over(top)).where(F.col("r") <= MAX_GRAMS).select("lang", "gram", "n")
-    return freeze(kept.toArrow())
+    grams = durable(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    size = grams.agg(F.count("*").alias("n"), F.count_distinct("lang").alias("langs")).first()
+    return freeze(grams.toArrow()) if size.n <= MAX_GRAMS * size.langs else grams
 
 
 def freeze(counts: pa.Table) -> dict:
@@ -155,8 +154,58 @@ def _bits_of(model: dict, texts: list[bytes]) -> np.ndarray:
     return total
 
 
-def identify(docs: DataFrame, model: dict) -> DataFrame:
+def _prices(asked: DataFrame, counts: DataFrame, langs: list[str]) -> DataFrame:
+    """``code, bits``: code lengths of the strings ``code`` in every language, by joins with the counts of each order."""
+    index = F.create_map(*[x for i, lang in enumerate(langs) for x in (F.lit(lang), F.lit(i))])[F.col("lang")]
+    counts = counts.select(index.alias("l"), "gram", "n")
+    out, last = asked, F.transform(F.sequence(F.lit(0), F.lit(len(langs) - 1)), lambda _: F.lit(8.0))
+    for k in range(ORDER + 1):
+        strings = counts.groupBy("l", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("s")).agg(F.sum("n").alias("n"))
+        contexts = strings.groupBy("l", F.shiftright("s", 8).alias("c")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct"))
+        seen = strings.groupBy("s").agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("seen"))      # a row has as many entries as languages
+        around = contexts.groupBy("c").agg(F.map_from_entries(F.collect_list(F.struct("l", F.struct("total", "distinct")))).alias("around"))
+        # at most 2 ** 16 rows are broadcast
+        out = (out.withColumn("s", F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))).withColumn("c", F.shiftright("s", 8))
+               .join(F.broadcast(seen) if k < 2 else seen, "s", "left").join(F.broadcast(around) if k < 3 else around, "c", "left"))
+
+        def cost(below: Column, i: Column) -> Column:
+            n, at = F.col("seen")[i], F.col("around")[i]
+            return (F.when(n.isNotNull(), F.log2((at["total"] + at["distinct"]) / n))
+                    .when(at.isNotNull(), F.log2((at["total"] + at["distinct"]) / at["distinct"]) + below).otherwise(below))
+
+        out = out.select("code", F.transform(last if k == 0 else F.col("bits"), cost).alias("bits"))
+    return out
+
+
+def _identify_by_join(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    langs = sorted((r[0] for r in counts.select("lang").distinct().collect()), key=lambda x: x.encode())
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, t in enumerate(b.column(3).to_pylist()):
+                code, n = (np.unique(_codes([t.encode().translate(_BYTES)])[0], return_counts=True) if t and _LETTER.search(t)
+                           else (np.zeros(0, np.int64),) * 2)
+                own = pa.array(np.full(max(len(code), 1), i))
+                yield pa.RecordBatch.from_arrays([*(b.column(k).take(own) for k in range(3)), pa.array(code.astype(np.int64) if len(code) else [None], pa.int64()),
+                                                  pa.array(n if len(code) else [0], pa.int64())], ["row", "doc_id", "held_out", "code", "n"])
+
+    kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    found = durable(rows.mapInArrow(strings, f"row long, doc_id {kind}, held_out boolean, code long, n long"))
+    priced = found.join(_prices(found.where("code is not null").select("code").distinct(), counts, langs), "code", "left")
+    total = priced.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
+                                      F.array(*[F.sum(F.col("n") * F.get("bits", F.lit(i))) for i in range(len(langs))]).alias("bits"))
+    least = F.array_min("bits")
+    score = 1 / F.aggregate("bits", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), -F.least(x - least, F.lit(1000.0))))
+    names = F.array(*[F.lit(x) for x in langs])
+    return total.select("doc_id", "held_out", F.coalesce(F.get(names, (F.array_position("bits", least) - 1).cast("int")), F.lit(UNKNOWN)).alias("lang_pred"),
+                        F.coalesce(score, F.lit(0.0)).alias("score"))
+
+
+def identify(docs: DataFrame, model: dict | DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document."""
+    if isinstance(model, DataFrame):
+        return _identify_by_join(docs, model)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -306,6 +306,17 @@ def test_language(spark, awkward, documents):
     assert len(odd) == 10 and all(odd[i].lang_pred == "und" for i in (1, 2, 7))
 
 
+def test_language_beyond_the_broadcast_bound(spark, awkward, monkeypatch):
+    for df in (spark.read.parquet(f"{SF_SMALL}/documents.parquet"), awkward):
+        key = lambda r: (str(r.doc_id), r.held_out, r.lang_pred, r.score)
+        want = sorted(language.identify_languages(df).collect(), key=key)
+        with monkeypatch.context() as m:
+            m.setattr(language, "MAX_GRAMS", 50)
+            got = sorted(language.identify_languages(df).collect(), key=key)
+        assert [tuple(r)[:3] for r in got] == [tuple(r)[:3] for r in want]
+        assert [r.score for r in got] == pytest.approx([r.score for r in want], abs=1e-3)
+
+
 def test_code_lengths():
     import pyarrow as pa
     texts = [("en", "the cat that"), ("de", "der die das hat"), ("fr", "le la les ça")]
