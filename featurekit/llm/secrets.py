@@ -4,8 +4,9 @@ Base patterns (assignments, access keys, long hex runs) are regular expressions.
 maximal run of token characters is a candidate.  A window slides over the candidate's characters; the
 counts of its characters are kept up as one enters and one leaves, so the entropy
 ``log2(W) - sum(c * log2(c)) / W`` costs one update per position.  Hot windows of a candidate are joined
-into spans.  Candidates on the allow list (identifiers, words, placeholders, sequences) add nothing, nor
-do spans that a base span already covers.
+into spans.  Candidates on the allow list (identifiers, words) add nothing, nor do spans that base spans
+already cover whole.  Placeholders and sequences cut a span: it stays if a piece between them, without repeats
+of one character, is as long as the window.
 
 One pass, no shuffle: spans are computed inside each row.  NULL and empty texts have no spans.  Rows are
 treated one by one, so repeated rows come out repeated, and other columns are passed on.
@@ -36,11 +37,11 @@ CLASSES = [("entropy_hex", "0123456789abcdef", 3.0),
            ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=", 3.9)]
 WINDOW = 24
 
-#: Candidates that are no secrets: UUIDs, runs of one kind of character, snake or kebab words, paths of
-#: words, placeholders, alphabet or digit sequences.
+#: Candidates that are no secrets: UUIDs, runs of one kind of character, snake or kebab words, paths of words.
 ALLOW = ["^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[A-Za-z_/=+-]+$", "^[0-9_/=+-]+$",
-         "^[A-Za-z]*([_/-][A-Za-z]+)*[_/-]?[0-9]{0,4}$", "(?i)example|placeholder|changeme|your[_-]",
-         "(?i)abcdefgh|0123456789|1234567890", r"(.)\1{7}"]
+         "^[A-Za-z]*([_/-][A-Za-z]+)*[_/-]?[0-9]{0,4}$"]
+#: Parts of spans that are no secrets: placeholders, alphabet or digit sequences; repeats of one character.
+CUTS, REPEAT = "(?i)example|placeholder|changeme|your[_-]|abcdefgh|0123456789|1234567890", r"(.)\1{7,}"
 
 
 _SPANS = "array<struct<s:int,e:int>>"
@@ -79,7 +80,7 @@ def _entropy_spans(token: Column, alphabet: str, least: float, window: int = WIN
 
 
 def _entropy(text: Column, base: Column) -> Column:
-    """``array<struct<s,k,e>>`` of the method's spans: candidates, allow list, windows, base spans left out."""
+    """``array<struct<s,k,e>>`` of the method's spans: candidates, allow list, windows; without those that base spans cover."""
     candidate = f"(?<!{_TOKEN}){_TOKEN}{{{WINDOW},}}+"
     kept = lambda m: (m.rlike("[0-9]") & m.rlike("[A-Za-z]") & ~m.rlike("|".join(f"(?:{p})" for p in ALLOW)))
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
@@ -96,7 +97,11 @@ def _entropy(text: Column, base: Column) -> Column:
 
     def all_of(cands: Column) -> Column:
         found = F.flatten(F.transform(cands, spans))
-        return F.filter(found, lambda f: ~F.exists(base, lambda b: (b["s"] < f["e"]) & (f["s"] < b["e"])))
+        secret = lambda f: F.exists(F.split(F.substring(text, f["s"] + 1, f["e"] - f["s"]), CUTS),
+                                    lambda x: F.length(F.regexp_replace(x, REPEAT, "")) >= WINDOW)
+        # base spans are sorted by start: how far they cover the span from its start on
+        covered = lambda f: F.aggregate(base, f["s"], lambda at, b: F.when(b["s"] <= at, F.greatest(at, b["e"])).otherwise(at)) >= f["e"]
+        return F.filter(found, lambda f: secret(f) & ~covered(f))
 
     return let(match_spans(text, candidate, kept), lambda c: F.when(F.size(c) > 0, all_of(c)).otherwise(none))
 

@@ -113,6 +113,19 @@ def test_entropy_spans(spark):
     assert {p for s, e in found for p in range(s, e)} == {p for i in hot for p in range(i, i + w)}
 
 
+def test_secrets_beside_base_spans_and_placeholders(spark):
+    key = "Zx9Qw7Er5Ty3Ui1Op0As2Df4Gh6Jk8LzVcBnMqWe"
+    texts = {1: f"see /hooks/{'0a1b2c3d4e5f6789' * 2}/{key} now", 2: f"see /example/{key} now", 3: f"see {key}AAAAAAAA{key[::-1]} now",
+             4: f"see {key[:20]}AAAAAAAA{key[20:]} now", 5: "see your-Key9Qw7Er5Ty3-example-Zx8 now",
+             6: "see ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/ now", 7: f"token={key} now"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    spans = {r.doc_id: r.spans for r in secrets.scan_secrets(df).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    pieces = [p for k in (key, key[::-1]) for p in (k[i:i + 8] for i in range(len(k) - 7))]
+    assert all("entropy_base64" in spans[i] and not any(p in masked[i] for p in pieces) for i in (1, 2, 3, 4))
+    assert spans[5] == spans[6] == "" and spans[7] == f"assign:0:{6 + len(key)}"
+
+
 def test_redaction_keeps_columns(awkward):
     out = secrets.redact_secrets(awkward)
     assert out.columns == awkward.columns
