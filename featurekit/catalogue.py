@@ -29,7 +29,7 @@ SWAP_MAP = {"A": "R", "R": "A"}
 THRESHOLDS_19 = [i / 18.0 for i in range(19)]
 THRESHOLDS_21 = [i / 20.0 for i in range(21)]
 SPLIT_SEED = 107
-SCAN_SEEDS = range(3)          # of the stability scan; split_stability itself takes 200 by default
+SCAN_SEEDS = range(200)        # of the stability scan, as split_stability takes by default
 
 R6 = round6
 
