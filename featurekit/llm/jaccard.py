@@ -146,7 +146,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = [shingle_set(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                                          pa.array([set_hash(s) for s in sets], pa.int64())], ["id", "n", "h"])
+                                          pa.array([set_hash(s) for s in sets], pa.int64()), b.column(2)], ["id", "n", "h", "x"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +238,10 @@ def _enough(shared: DataFrame) -> DataFrame:
 
 
 def link_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: ``__id, __n`` (set size), ``__component`` (least id reachable by links)."""
-    rows = durable(_map(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t")), _summaries,
-                        "id long, n long, h long"))
+    """One row per document: ``__id, __n`` (set size), ``__component`` (least id reachable by links); ``__text`` and ``__set``
+    (hashes of the text and its set) and ``__group`` (the same for linked documents, with ids or without; NULL for empty sets)."""
+    rows = durable(_map(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"), F.xxhash64("text").alias("x")), _summaries,
+                        "id long, n long, h long, x long"))
     node = durable(rows.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.max("n").alias("n")))
     # 1. blocks that two nodes or more share, of nodes that share as many as a link needs
     over = Window.partitionBy("k")
@@ -296,10 +297,11 @@ def link_groups(docs: DataFrame) -> DataFrame:
     more = durable(_compared(pairs, sets).where("linked").select("a", "b"))
     # 5. groups, by least document id
     final = _relabel(node, components(found.unionByName(more)))
-    least = durable(final.join(final.groupBy("label").agg(F.min("id").alias("least")), "label").select("h", "least"))
+    least = durable(final.join(final.groupBy("label").agg(F.min("id").alias("least")), "label").select("h", "least", "label"))
     return rows.join(maybe_broadcast(least, 32), "h", "left").select(
         F.col("id").alias("__id"), F.col("n").alias("__n"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("__component"))
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("__component"),
+        F.col("x").alias("__text"), F.col("h").alias("__set"), F.when(F.col("n") > 0, F.col("label")).alias("__group"))
 
 
 def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,15 +318,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each group (that with the least id); the columns of ``docs``.
+    """One row of each group: that with the least id, then the least hashes of set and text; the columns of ``docs``.
 
-    Documents without an id stay unless they repeat one with an id; they are compared by text only.
+    Rows without an id are compared by text only and come last.  Of rows with the same id and text one stays.  Documents
+    without words link to nothing, so they all stay.
     """
-    groups = link_groups(docs.select("doc_id", "text"))
-    gone = durable(groups.where("__id <> __component").select(F.col("__id").alias("__gone")).distinct())
+    rows = link_groups(docs.select("doc_id", "text")).where(F.col("__group").isNotNull())
+    kinds = durable(rows.groupBy("__group", F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__set").alias("h"),
+                                                     F.col("__text").alias("x")).alias("__key")).agg(F.count("*").alias("rows")))
+    first = kinds.groupBy("__group").agg(F.min("__key").alias("least"))
+    # rows to look at: all but those that stand alone
+    verdict = durable(kinds.join(first, "__group").withColumn("stays", F.col("__key") == F.col("least")).where(~F.col("stays") | (F.col("rows") > 1))
+                      .select(F.col("__key.id").alias("__id"), F.col("__key.x").alias("__x"), "stays"))
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    once = docs.withColumn("__gone", F.col("doc_id").cast("long"))
-    return once.join(maybe_broadcast(gone, 16), "__gone", "left_anti").select(*cols)
+    keyed = docs.select(F.struct(*cols).alias("__own"), F.col("doc_id").cast("long").alias("__i"), F.xxhash64("text").alias("__t"))
+    judged = keyed.join(maybe_broadcast(verdict, 24), (F.col("__t") == F.col("__x")) & F.col("__i").eqNullSafe(F.col("__id")), "left")
+    alone = judged.where(F.col("stays").isNull()).select("__own.*")
+    return alone.unionByName(judged.where("stays").dropDuplicates(["__i", "__t"]).select("__own.*"))
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -173,6 +173,16 @@ def test_near_copies_go_once(awkward):
     assert ids[4] == 0 and ids[6] == 0 and ids[1] == ids[2] == ids[None] == 1 and ids[5] == 1
 
 
+def test_one_row_of_each_group(spark, awkward):
+    assert Counter(r.doc_id for r in jaccard.drop_near_copies(awkward).collect())[3] == 1
+    long = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, "p q r s t"), (1, "p q r s t"), (None, "p Q r s t"), (None, "a b c"), (None, "A b c"), (None, "a b c"), (None, "d e f"),
+            (7, long), (8, long + " x"), (8, "its own text"), (9, ""), (9, ""), (None, None)]
+    out = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = Counter((r.doc_id, (r.text or "").lower()) for r in out)
+    assert got == {(1, "p q r s t"): 1, (None, "a b c"): 1, (None, "d e f"): 1, (7, long): 1, (8, "its own text"): 1, (9, ""): 2, (None, ""): 1}
+
+
 def test_quality(spark, awkward, documents):
     for df, texts in ((awkward, [r[:2] for r in AWKWARD]), (spark.read.parquet(f"{SF_SMALL}/documents.parquet"), [r[:2] for r in documents])):
         want = []
