@@ -47,7 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", decontaminate),
           ("secret scans", secret_scan), ("mixing sources", mix_sources)]
 
-#: SQL cannot express the entropy windows and the line hashes; tests hold the rows against plain Python.
+#: SQL cannot express the entropy windows and the line hashes.  Tests hold the stages against small cases; no plain Python
+#: version of the whole pipeline exists.
 ORACLE_SQL = None
 
 
