@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from featurekit.llm import chat, decontaminate, mixing
+from featurekit.llm import chat, decontaminate, mixing, trie
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -105,4 +105,25 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(cover.n, 0)::BIGINT AS n_h
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
-ORACLE = {"op2_jaccard_join": OP2, "op5_mix_sources": OP5, "op7_warc": OP7, "op8_chat_format": OP8, "op9_decontaminate": OP9}
+_CRC = ("xor(4294967295, list_reduce(list_transform(string_split({}::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b: "
+        "list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::BIGINT))")
+
+OP13 = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+g AS (SELECT conv_id, turn, sha256(length(role)::VARCHAR || ':' || role || text) AS g, len({_WORDS.format("text")})::BIGINT AS w FROM t),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, g) AS pos FROM g),
+c AS (SELECT conv_id, conv_id - conv_id % {trie.FAMILY} AS base, {_CRC.format("conv_id")} % {trie.HEADS} AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, pos, g, w FROM c JOIN p ON p.conv_id = c.base AND pos <= h UNION ALL SELECT c.conv_id, pos, g, w FROM c JOIN p ON p.conv_id = c.conv_id WHERE pos > h),
+s AS (SELECT c.conv_id, coalesce(list(g ORDER BY pos) FILTER (g IS NOT NULL), []) AS seq, list(w ORDER BY pos) AS ws FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY 1),
+pre AS (SELECT *, unnest(range(0, len(seq) + 1)) AS depth FROM s),
+node AS (SELECT seq[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n, any_value(CASE WHEN depth > 0 THEN ws[depth] ELSE 0 END) AS w,
+           string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth) AS ids FROM pre GROUP BY 1, 2),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS c FROM node WHERE depth > 0 GROUP BY 1),
+f AS (SELECT node.*, coalesce(kids.c, 0) AS c FROM node LEFT JOIN kids ON kids.k = node.k),
+sub AS (SELECT k[1:e] AS k, count(*) FILTER (c = 0) AS leaves, sum((n - 1) * w)::BIGINT AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM f) GROUP BY 1)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.c AS n_children, sub.leaves AS n_leaves, sub.saved AS saved_tokens,
+  sha256(coalesce(f.ids, '')) AS ends_sha256
+FROM f JOIN sub ON sub.k = f.k LEFT JOIN node up ON f.depth > 0 AND up.k = f.k[1:f.depth - 1]
+"""
+
+ORACLE = {"op2_jaccard_join": OP2, "op5_mix_sources": OP5, "op7_warc": OP7, "op8_chat_format": OP8, "op9_decontaminate": OP9, "op13_prefix_trie": OP13}
