@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from featurekit.llm.align import op12_token_alignment
 from featurekit.llm.chat import op8_chat_format
 from featurekit.llm.decontaminate import op9_decontaminate
 from featurekit.llm.html import op6_html_extract
@@ -18,6 +19,6 @@ from featurekit.llm.warc import op7_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_jaccard_join, op3_quality_rules, op4_pii, op5_mix_sources, op6_html_extract, op7_warc, op8_chat_format,
-    op9_decontaminate, op10_language_id, op13_prefix_trie)} | {"pipeline": corpus_pipeline.run}
+    op9_decontaminate, op10_language_id, op12_token_alignment, op13_prefix_trie)} | {"pipeline": corpus_pipeline.run}
 
 ORACLES = ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
