@@ -35,8 +35,8 @@ from featurekit.session import written
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-MEMO, MEMO_TOKENS = 400_000, 4_000_000
-PIECE = 1 << 21              # characters tokenised at a time
+MEMO, MEMO_TOKENS = 150_000, 2_000_000
+PIECE = 1 << 20              # characters tokenised at a time
 
 #: The pattern that splits text before the merges of byte-level BPE (fixed value of the vocabulary).
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -192,8 +192,8 @@ class Aligner:
 
     def _windows(self, a: np.ndarray, i: np.ndarray, n: np.ndarray, b: np.ndarray, j: np.ndarray, m: np.ndarray) -> np.ndarray:
         """Indexes of the windows of ids a[i:i + n] and b[j:j + m], which are aligned if they're new."""
-        a_raw, b_raw = a.tobytes(), b.tobytes()
-        keys = [(a_raw[p:q], b_raw[r:s]) for p, q, r, s in zip(*((8 * x).tolist() for x in (i, i + n, j, j + m)), strict=True)]
+        a_raw, b_raw = a.astype(np.int32).tobytes(), b.astype(np.int32).tobytes()
+        keys = [(a_raw[p:q], b_raw[r:s]) for p, q, r, s in zip(*((4 * x).tolist() for x in (i, i + n, j, j + m)), strict=True)]
         found = list(map(self.memo.get, keys))
         if None in found:
             new = {k: at for at, (k, x) in enumerate(zip(keys, found, strict=True)) if x is None}
