@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     if not 0 < ones < n:
         return {"share": ones / n if n else 0.0}
     chosen = [_cut(own.where(F.col("toxic") == k), size, MAX_DOCS, "doc_id") for k, size in ((0, n - ones), (1, ones))]
-    rows = chosen[0].unionByName(chosen[1]).join(docs.select("doc_id", "text"), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")      # about 2 * MAX_DOCS rows
     rows = rows.select("doc_id", "toxic", "text", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3)) == 0).alias("calibrates"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
