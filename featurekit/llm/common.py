@@ -1,7 +1,7 @@
 """Helpers shared by the text operators of this subpackage.
 
-Everything here is plain DataFrame code.  Internal columns start with ``__`` so that extra columns
-of the caller cannot clash with them.
+Everything here is plain DataFrame code.  Operators carry the caller's row in one struct (``whole_row``) beside their own
+columns, so that extra columns of any name cannot clash with them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from featurekit.session import durable, ensure_checkpoint_dir
 
 __all__ = ["BROADCAST_BYTES", "WS", "ascii_lower", "bitmap", "durable", "ensure_checkpoint_dir", "in_bitmap",
-           "let", "match_spans", "maybe_broadcast", "table", "words"]
+           "let", "match_spans", "maybe_broadcast", "scan_array", "table", "whole_row", "words"]
 
 #: White space between words, as every word rule of this subpackage has it.
 WS = r"[\x20\x09-\x0D]+"
@@ -26,6 +26,9 @@ BROADCAST_BYTES = 32 << 20
 #: Bits of the fixed-size membership filter of :func:`bitmap`.
 BITMAP_BITS = 1 << 18
 
+#: Items that :func:`scan_array` takes at a time.
+SCAN = 256
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,6 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc")
+
+
 def words(text: Column) -> Column:
     """White-space separated words; NULL text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS, -1), "")
@@ -48,6 +55,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scan_array(items: Column, zero: Column, step: Callable[[Column, Column], Column],
+               emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``array<kind>`` of ``emit(state, item)``, with ``state`` starting at ``zero`` and going on by ``step(state, item)``.
+
+    Appending to an array copies it, so items are taken in stretches of SCAN: the states at their beginnings first, then
+    each stretch on its own.  Work grows as n * SCAN + (n / SCAN) ** 2, not as n ** 2.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def within(part: Column, state: Column) -> Column:
+        return F.aggregate(part, F.struct(state.alias("at"), none.alias("out")), lambda a, x: F.struct(
+            step(a["at"], x).alias("at"), F.concat(a["out"], F.array(emit(a["at"], x))).alias("out")), lambda a: a["out"])
+
+    def stretches(xs: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / SCAN).cast("int")), lambda k: F.slice(xs, k * SCAN + 1, SCAN))
+
+        def all_of(parts: Column) -> Column:
+            begin = F.aggregate(parts, F.struct(zero.alias("at"), F.array(zero).alias("out")), lambda a, part: let(
+                F.aggregate(part, a["at"], step), lambda at: F.struct(at.alias("at"), F.concat(a["out"], F.array(at)).alias("out"))), lambda a: a["out"])
+            return let(begin, lambda at: F.flatten(F.transform(parts, lambda part, k: within(part, F.get(at, k)))))
+
+        return let(cut, all_of)
+
+    return let(items, lambda xs: F.when(F.size(xs) <= SCAN, within(xs, zero)).otherwise(stretches(xs)))
+
+
 def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
     """``array<struct<s,e>>``: code point spans of the leftmost non-overlapping matches, end exclusive.
 
@@ -55,22 +88,17 @@ def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | N
     lengths gives the positions.  Matches for which ``keep(match)`` is not true are dropped, not retried.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<s:int,e:int>>")
+    kind = "struct<s:int,e:int>"
 
     def positions(m: Column) -> Column:
         parts = F.zip_with(F.split(text, pattern, -1), m, lambda g, x: F.struct(
-            F.length(g).alias("g"), F.length(x).alias("m"),
+            F.length(g).alias("g"), F.coalesce(F.length(x), F.lit(0)).alias("m"),
             (F.coalesce(keep(x), F.lit(False)) if keep else x.isNotNull()).alias("ok")))
-        start = lambda a, x: a["at"] + x["g"]
-        return F.aggregate(
-            parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-            lambda a, x: F.struct(
-                (start(a, x) + F.coalesce(x["m"], F.lit(0))).alias("at"),
-                F.when(x["ok"], F.concat(a["out"], F.array(F.struct(
-                    start(a, x).alias("s"), (start(a, x) + x["m"]).alias("e"))))).otherwise(a["out"]).alias("out")),
-            lambda a: a["out"])
-
-    return let(found, lambda m: F.when(F.size(m) > 0, positions(m)).otherwise(none))
+        spans = scan_array(parts, F.lit(0), lambda at, x: at + x["g"] + x["m"], lambda at, x: F.when(x["ok"], F.struct(
+            (at + x["g"]).alias("s"), (at + x["g"] + x["m"]).alias("e"))), kind)
+        return F.filter(spans, lambda x: x.isNotNull())
+
+    return let(found, lambda m: F.when(F.size(m) > 0, positions(m)).otherwise(F.array().cast(f"array<{kind}>")))
 
 
 def bitmap(values: DataFrame, column: str) -> Column:

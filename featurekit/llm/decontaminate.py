@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import ascii_lower, bitmap, durable, in_bitmap, maybe_broadcast, table
+from featurekit.llm.common import ascii_lower, bitmap, durable, in_bitmap, maybe_broadcast, table, whole_row
 
 WINDOW = 13
 #: A document is contaminated if 1 of so many words or more is hit.
@@ -52,19 +52,18 @@ def item_windows(items: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` with ``__n`` words, ``__hit`` words hit and ``__ids``, the sorted ids of the items found."""
+    """``__doc`` (the row), ``__n`` words, ``__hit`` words hit and ``__ids``, the sorted ids of the items found."""
     wins = item_windows(items, docs)
     bits = bitmap(wins.select(F.xxhash64("__token").alias("h")), "h")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
     none = F.array().cast("array<string>")
-    marked = (docs.withColumn("__w", bench_words(F.col("text")))
+    marked = (docs.select(whole_row(docs), bench_words(F.col("text")).alias("__w"))
               .withColumn("__pos", F.filter(F.transform("__w", lambda x, i: F.when(in_bitmap(F.xxhash64(x), bits), i)),
                                             lambda i: i.isNotNull())))
-    clean = marked.where(F.size("__pos") == 0).select(*cols, F.size("__w").cast("long").alias("__n"),
+    clean = marked.where(F.size("__pos") == 0).select("__doc", F.size("__w").cast("long").alias("__n"),
                                                       F.lit(0).cast("long").alias("__hit"), none.alias("__ids"))
     at, first = F.col("__at"), F.greatest(F.col("__at") - (WINDOW - 1), F.lit(0))
     rows = (marked.where(F.size("__pos") > 0).withColumn("__row", F.monotonically_increasing_id())
-            .select("__row", F.struct(*cols).alias("__doc"), "__w", F.posexplode("__pos").alias("__k", "__at"))
+            .select("__row", "__doc", "__w", F.posexplode("__pos").alias("__k", "__at"))
             .select("__row", F.when(F.col("__k") == 0, F.col("__doc")).alias("__doc"), F.size("__w").alias("__n"), "__at",
                     F.get("__w", at).alias("__token"), first.alias("__first"),
                     F.slice("__w", first + 1, F.lit(2 * WINDOW - 1)).alias("__near")))
@@ -77,7 +76,7 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
                  F.first("__doc", ignorenulls=True).alias("__doc"), F.first("__n").cast("long").alias("__n"),
                  F.collect_set(F.when(F.col("__ok"), F.sequence(start, start + size - 1))).alias("__cover"),
                  F.collect_set(F.when(F.col("__ok"), F.col("__items"))).alias("__ids"))
-             .select("__doc.*", "__n", F.size(F.array_distinct(F.flatten("__cover"))).cast("long").alias("__hit"),
+             .select("__doc", "__n", F.size(F.array_distinct(F.flatten("__cover"))).cast("long").alias("__hit"),
                      F.array_sort(F.array_distinct(F.flatten("__ids"))).alias("__ids")))
     return clean.unionByName(found)
 
@@ -88,14 +87,13 @@ _CONTAMINATED = (lambda: (F.col("__hit") > 0) & (SHARE * F.col("__hit") >= F.col
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document: words, words hit, items found, verdict."""
     return _hits(docs.select("doc_id", "text"), items.select("item_id", "text")).select(
-        "doc_id", F.col("__n").alias("n_words"), F.col("__hit").alias("n_hit"), F.size("__ids").cast("long").alias("n_items"),
+        "__doc.doc_id", F.col("__n").alias("n_words"), F.col("__hit").alias("n_hit"), F.size("__ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("__ids", ","), 256).alias("items_sha256"), _CONTAMINATED().alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that aren't contaminated; the columns of ``docs``."""
-    return (_hits(docs, items.select("item_id", "text")).where(~_CONTAMINATED())
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return _hits(docs, items.select("item_id", "text")).where(~_CONTAMINATED()).select("__doc.*")
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import durable, maybe_broadcast, table, words
+from featurekit.llm.common import durable, maybe_broadcast, table, whole_row, words
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -119,19 +119,24 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes words of, with ``taken`` (words, repeats counted) and ``copies`` (of the whole text).
+    """The documents that the mix takes words of, with ``taken`` (words, repeats counted) and ``copies`` (of the whole text);
+    ``mix_taken`` and so on where ``docs`` has a column of that name.
 
     Texts don't pass through the apportionment: they are joined again by a hash of the row, of which
     repeated rows take the sum.
     """
-    row = lambda d: F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    plan = mix(docs).withColumn("__row", F.xxhash64(*[F.col(f"__doc.`{c}`") for c in docs.columns if c != "text"]))
-    taken = plan.groupBy("__row", "size").agg(F.sum("taken").alias("__sum"), F.count("*").alias("__n"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.select(*own, row(docs).alias("__row"), F.size(words(F.col("text"))).cast("long").alias("__words"))
-            .join(taken.withColumnRenamed("size", "__words"), ["__row", "__words"]).where(F.col("__sum") > 0)
-            .select(*own, (F.col("__sum") / F.col("__n")).cast("long").alias("taken"),
-                    F.round(F.col("__sum") / F.col("__n") / F.greatest(F.col("__words"), F.lit(1)), 4).alias("copies")))
+    names = []
+    for name in ("taken", "copies"):
+        while name in docs.columns:
+            name = f"mix_{name}"
+        names.append(name)
+    row = lambda prefix="": F.xxhash64(*[F.col(f"{prefix}`{c}`") for c in docs.columns if c != "text"])
+    plan = mix(docs).withColumn("__row", row("__doc."))
+    taken = (plan.groupBy("__row", F.col("size").alias("__words")).agg(F.sum("taken").alias("__sum"), F.count("*").alias("__n")))
+    share = F.col("__sum") / F.col("__n")
+    own = docs.select(whole_row(docs), row().alias("__row"), F.size(words(F.col("text"))).cast("long").alias("__words"))
+    return (own.join(taken, ["__row", "__words"]).where(F.col("__sum") > 0)
+            .select("__doc.*", share.cast("long").alias(names[0]), F.round(share / F.greatest(F.col("__words"), F.lit(1)), 4).alias(names[1])))
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:

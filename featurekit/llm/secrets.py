@@ -3,7 +3,7 @@
 Base patterns (assignments, access keys, long hex runs) are regular expressions.  Besides them, every
 maximal run of token characters is a candidate.  A window slides over the candidate's characters; the
 counts of its characters are kept up as one enters and one leaves, so the entropy
-``log2(W) - sum(c * log2(c)) / W`` costs one update per position.  Hot windows of a candidate are joined
+``log2(W) - sum(c * log2(c)) / W`` costs one update per position (the counts are packed into a few numbers).  Hot windows of a candidate are joined
 into spans.  Candidates on the allow list (identifiers, words) add nothing, nor do spans that base spans
 already cover whole.  Placeholders and sequences cut a span: it stays if a piece between them, without repeats
 of one character, is as long as the window.
@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import let, match_spans
+from featurekit.llm.common import let, match_spans, scan_array, whole_row
 
 KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
 BASE = 3
@@ -47,34 +47,51 @@ CUTS, REPEAT = "(?i)example|placeholder|changeme|your[_-]|abcdefgh|0123456789|12
 _SPANS = "array<struct<s:int,e:int>>"
 
 
+#: A window's counts are packed: SLOTS characters of 5 bits in a number (exact as a double), so a step writes few numbers.
+SLOTS, BITS = 10, 32
+_POWERS = [BITS ** k for k in range(SLOTS)]
+
+
 def _entropy_spans(token: Column, alphabet: str, least: float, window: int = WINDOW) -> Column:
     """Spans within ``token`` whose windows reach ``least`` bits of entropy, joined where they touch."""
+    if window >= BITS:
+        raise ValueError(f"windows of fewer than {BITS} characters")
+    powers, none = F.array(*[F.lit(p).cast("long") for p in _POWERS]), F.array().cast(_SPANS)
+
     def clogc(c: Column) -> Column:
         return F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
 
+    def number(c: Column) -> Column:
+        return F.floor(c / SLOTS).cast("int")
+
+    def power(c: Column) -> Column:
+        return F.get(powers, F.pmod(c, F.lit(SLOTS)).cast("int"))
+
     def scan(chars: Column) -> Column:
         def step(a: Column, i: Column) -> Column:
             enter = F.get(chars, i)
-            leave = F.when(i >= window, F.get(chars, i - window)).otherwise(F.lit(-1))
-            c_in, c_out = F.get(a["n"], enter), F.get(a["n"], leave)      # c_out: NULL while the window fills
+            leave = F.when(i >= window, F.get(chars, i - window))            # NULL while the window fills
+            count = lambda c: F.pmod(F.floor(F.get(a["n"], number(c)) / power(c)), F.lit(BITS))
+            c_in, c_out = count(enter), count(leave)
             delta = clogc(c_in + 1) - clogc(c_in) + F.coalesce(clogc(c_out - 1) - clogc(c_out), F.lit(0.0))
-            same = enter == leave
+            same = F.coalesce(enter == leave, F.lit(False))
             total = F.when(same, a["s"]).otherwise(a["s"] + delta)
-            counts = F.when(same, a["n"]).otherwise(F.transform(
-                a["n"], lambda c, k: c + (k == enter).cast("int") - (k == leave).cast("int")))
+            counts = F.when(same, a["n"]).otherwise(F.transform(a["n"], lambda v, k: (
+                v + F.when(k == number(enter), power(enter)).otherwise(0) - F.coalesce(F.when(k == number(leave), power(leave)), F.lit(0)))))
             hot = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least)
             start, end = i - (window - 1), i + 1
-            last = F.get(a["out"], F.size(a["out"]) - 1)
-            grown = F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1),
-                             F.array(F.struct(last["s"].alias("s"), end.alias("e"))))
-            fresh = F.concat(a["out"], F.array(F.struct(start.alias("s"), end.alias("e"))))
-            out = (F.when(~hot, a["out"]).when((F.size(a["out"]) > 0) & (last["e"] >= start), grown).otherwise(fresh))
-            return F.struct(counts.alias("n"), total.alias("s"), out.cast(_SPANS).alias("out"))
+            goes_on = hot & (a["to"] >= start)
+            ends = hot & ~goes_on & (a["to"] >= 0)                         # the array is copied once a span, not once a character
+            return F.struct(counts.alias("n"), total.alias("s"),
+                            F.when(hot & ~goes_on, start).otherwise(a["from"]).alias("from"), F.when(hot, end).otherwise(a["to"]).alias("to"),
+                            F.when(ends, F.concat(a["out"], F.array(F.struct(a["from"].alias("s"), a["to"].alias("e")))))
+                            .otherwise(a["out"]).cast(_SPANS).alias("out"))
 
         return F.aggregate(
             F.sequence(F.lit(0), F.size(chars) - 1),
-            F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("s"), F.array().cast(_SPANS).alias("out")),
-            step, lambda a: a["out"])
+            F.struct(F.array_repeat(F.lit(0).cast("long"), -(-len(alphabet) // SLOTS)).alias("n"), F.lit(0.0).alias("s"), F.lit(-1).alias("from"),
+                     F.lit(-1).alias("to"), none.alias("out")),
+            step, lambda a: F.when(a["to"] >= 0, F.concat(a["out"], F.array(F.struct(a["from"].alias("s"), a["to"].alias("e"))))).otherwise(a["out"]))
 
     return let(F.transform(F.split(token, ""), lambda ch: F.instr(F.lit(alphabet), ch) - 1), scan)
 
@@ -113,14 +130,14 @@ def _text(spans: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__base`` and ``__spans``: ``array<struct<s,k,e>>`` by start, then kind."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    """``__doc`` (the row), ``__base`` and ``__spans``: ``array<struct<s,k,e>>`` by start, then kind."""
+    t = F.coalesce(F.col("__t"), F.lit(""))
     tag = lambda spans, k: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e")))
     long_enough = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
     base = F.array_sort(F.concat(tag(match_spans(t, ASSIGN, long_enough), 0),
                                  tag(match_spans(t, ACCESS, lambda m: F.length(m) >= 20), 1),
                                  tag(match_spans(t, HEX), 2)))
-    return (docs.withColumn("__base", base)
+    return (docs.select(whole_row(docs), F.col(text).alias("__t")).withColumn("__base", base)
             .withColumn("__spans", F.array_sort(F.concat(F.col("__base"), _entropy(t, F.col("__base"))))))
 
 
@@ -128,25 +145,23 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """One row per document: counts and digest of the base spans, and all spans as text."""
     count = lambda k: F.size(F.filter("__base", lambda x: x["k"] == k)).cast("long")
     return with_spans(docs.select("doc_id", "text")).select(
-        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        "__doc.doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(_text(F.col("__base")), 256).alias("base_sha256"), _text(F.col("__spans")).alias("spans"))
 
 
 def redact_secrets(docs: DataFrame, mask: str = "<SECRET>") -> DataFrame:
     """``docs`` with every span (overlapping ones joined) replaced by ``mask``; ``n_chars`` follows the text."""
-    t, spans = F.col("text"), F.col("__spans")
-
-    def step(a: Column, x: Column) -> Column:     # what stands before the span, then the mask; spans by start
-        inside = x["s"] < a["at"]
-        piece = F.when(inside, F.lit("")).otherwise(F.concat(F.substring(t, a["at"] + 1, x["s"] - a["at"]), F.lit(mask)))
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.concat(a["out"], F.array(piece)).alias("out"))
-
-    masked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
-                         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(t, a["at"] + 1, F.length(t))))
-    out = with_spans(docs).withColumn("text", F.when(F.size("__spans") > 0, masked).otherwise(t))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    t, spans = F.col("__t"), F.col("__spans")
+
+    def piece(at: Column, x: Column) -> Column:     # what stands before the span, then the mask; spans by start
+        return F.when(x["s"] < at, F.lit("")).otherwise(F.concat(F.substring(t, at + 1, x["s"] - at), F.lit(mask)))
+
+    pieces = scan_array(spans, F.lit(0), lambda at, x: F.greatest(at, x["e"]), piece, "string")
+    masked = F.concat(F.array_join(pieces, ""), F.substring(t, F.array_max(F.transform(spans, lambda x: x["e"])) + 1, F.length(t)))
+    found = F.size("__spans") > 0
+    out = with_spans(docs).withColumn("__new", F.when(found, masked).otherwise(t))
+    changed = {"text": F.col("__new"), "n_chars": F.when(found, F.length("__new").cast("long")).otherwise(F.col("__doc.n_chars"))}
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(f"__doc.`{c}`") for c in docs.columns])
 
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
