@@ -4,25 +4,26 @@ Turns are marked ``<|im_start|>role\\ntext<|im_end|>\\n``.  Control strings insi
 (``\\`` doubled, then ``<|`` as ``<\\|``), so the markers stand at turn borders only and texts come back as
 they were; roles are URL-encoded.
 
-Prefix sums of turn tokens choose the windows: a turn belongs to the window in which the tokens before it
-fall, so windows hold whole turns and start at turn borders; a turn longer than the budget is a window's
-last turn, never cut.  A later window repeats the leading system turn and the turns before it that fit the
-history budget.  Repeated turns are context: an assistant turn is under the loss mask only in its own window.
+Prefix sums of turn tokens choose the windows, whole turns each.  A window holds the leading system turn, history (turns before
+it, up to ``history`` tokens) and new turns, and all of it together stays within the budget: new turns are added while they fit
+into what the system turn and the history allowance leave (the first window has no history).  A turn that doesn't fit there is its window's
+only new turn, never cut, and its history shrinks to what room is left; only such a window can exceed the budget.
+Repeated turns are context: an assistant turn is under the loss mask only in its own window.
 
-All rows of a conversation are dealt once, by ``conv_id``; prefix sums are window functions over them.  Turns
+All rows of a conversation are dealt once, by ``conv_id``, and its windows are chosen inside its row.  Turns
 are ordered by ``turn`` (NULL first), then role and text, so repeated and tied rows have a fixed order.
 NULL texts are empty, NULL roles are the empty role, NULL ``conv_id`` is one conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import let, table
+from featurekit.llm.common import scan_array, table
 
 START, END = "<|im_start|>", "<|im_end|>\n"
-#: Tokens of new turns in a window, and of history repeated before them.
+#: Tokens of a window, and of the history among them at most.
 BUDGET, HISTORY = 512, 128
 #: What counts as a token: a run of letters and digits, or any other visible character.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
@@ -37,41 +38,53 @@ def unescape(text: Column) -> Column:
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row per window: ``conv_id, window, formatted, n_context, loss`` (spans in ``formatted``, end exclusive)."""
-    t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    t = (t.withColumn("pos", F.row_number().over(order))
-         .withColumn("fixed", (F.col("role") == "system") & (F.col("pos") == 1))
-         .withColumn("tokens", F.when(F.col("fixed"), 0).otherwise(F.regexp_count("text", F.lit(TOKEN))).cast("long"))
-         .withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens"))
-         .withColumn("window", F.floor(F.col("before") / budget).cast("long")))
-    own = Window.partitionBy("conv_id", "window")
-    # where the next window that has turns begins, and which it is
-    ends = (t.withColumn("upto", F.max(F.col("before") + F.col("tokens")).over(own))
-            .withColumn("next", F.lead("window").over(order))
-            .withColumn("next", F.max("next").over(own))
-            .withColumn("last", F.max("window").over(Window.partitionBy("conv_id"))))
-    follows = (F.col("next") > F.col("window")) & (F.col("upto") - F.col("before") <= history) & ~F.col("fixed")
-    places = (F.when(F.col("fixed") & (F.col("last") > 0), F.sequence(F.lit(0).cast("long"), F.col("last")))
-              .when(follows, F.array("window", "next")).otherwise(F.array("window")))
-    piece = F.concat(F.lit(START), F.url_encode("role"), F.lit("\n"), escape(F.col("text")), F.lit(END))
-    head = F.length(F.concat(F.lit(START), F.url_encode("role"), F.lit("\n")))
-    dealt = ends.select("conv_id", F.explode(places).alias("w"), F.col("pos"), F.col("window"), "role", piece.alias("piece"),
-                        head.alias("head"), F.length(escape(F.col("text"))).alias("size"))
-    turn = F.struct("pos", (F.col("window") < F.col("w")).alias("context"), (F.col("role") == "assistant").alias("answer"),
-                    "piece", "head", "size")
-    grouped = (dealt.groupBy("conv_id", "w").agg(F.sort_array(F.collect_list(turn)).alias("turns"),
-                                                 F.max((F.col("window") == F.col("w"))).alias("own")).where("own"))
-    spans = F.aggregate(
-        "turns", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["piece"])).alias("at"),
-            F.when(x["answer"] & ~x["context"], F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["head"]).alias("s"), (a["at"] + x["head"] + x["size"]).alias("e"))))).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
-    return grouped.select("conv_id", F.col("w").alias("window"),
-                          F.array_join(F.transform("turns", lambda x: x["piece"]), "").alias("formatted"),
-                          F.size(F.filter("turns", lambda x: x["context"])).alias("n_context"), spans.alias("loss"))
+    """One row per window: ``conv_id, window, formatted, n_context, loss`` (spans in ``formatted``, end exclusive), ``tokens``."""
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    one = F.struct(F.col("turn").isNotNull().alias("known"), "turn", role.alias("role"), text.alias("text"),
+                   F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("tokens"))
+    conv = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    has_system = F.get("all", F.lit(0))["role"] == "system"
+    fixed = F.when(has_system, F.slice("all", 1, 1)).otherwise(F.slice("all", 1, 0))
+    conv = conv.select("conv_id", fixed.alias("fixed"), F.when(has_system, F.slice("all", F.lit(2), F.size("all"))).otherwise(F.col("all")).alias("rest"))
+    conv = conv.withColumn("system", F.coalesce(F.get("fixed", F.lit(0))["tokens"], F.lit(0).cast("long")))
+    room = lambda first: F.lit(budget) - F.col("system") - F.when(first, 0).otherwise(history)
+    # the window of each turn: (window, tokens of its new turns so far)
+    state = lambda w, used: F.struct(w.cast("long").alias("w"), used.cast("long").alias("used"))
+
+    def step(a: Column, x: Column) -> Column:
+        fits = (a["w"] >= 0) & (a["used"] + x["tokens"] <= room(a["w"] == 0))
+        return F.when(fits, state(a["w"], a["used"] + x["tokens"])).otherwise(state(a["w"] + 1, x["tokens"]))
+
+    window = scan_array(F.col("rest"), state(F.lit(-1), F.lit(0)), step, lambda a, x: step(a, x)["w"], "bigint")
+    before = scan_array(F.col("rest"), F.lit(0).cast("long"), lambda at, x: at + x["tokens"], lambda at, x: at, "bigint")
+    n = F.size("rest")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("window", i) > F.get("window", i - 1)))
+    conv = conv.withColumn("window", window).withColumn("before", before).withColumn(
+        "starts", F.when(n > 0, starts).otherwise(F.array(F.lit(0))))       # a system turn alone has one window
+    one_by_one = conv.select("*", F.posexplode("starts").alias("w", "start")).withColumn("end", F.coalesce(F.get("starts", F.col("w") + 1), n))
+    total = lambda at: F.when(at < n, F.get("before", at)).otherwise(F.coalesce(F.get("before", n - 1) + F.get("rest", n - 1)["tokens"], F.lit(0)))
+    new = total(F.col("end")) - total(F.col("start"))
+    allowed = F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("system") - new))
+    repeated = F.filter(F.sequence(F.lit(0), F.col("start")), lambda j: (j < F.col("start")) & (total(F.col("start")) - F.get("before", j) <= allowed))
+    dealt = one_by_one.select(
+        "conv_id", F.col("w").cast("long").alias("window"), F.col("system") + new + total(F.col("start")) - total(F.coalesce(F.get(repeated, F.lit(0)), F.col("start")))
+        .alias("tokens"),
+        F.transform(F.concat(F.when(F.col("w") > 0, F.col("fixed")).otherwise(F.slice("fixed", 1, 0)),
+                             F.slice("rest", F.coalesce(F.get(repeated, F.lit(0)), F.col("start")) + 1, F.size(repeated))), lambda t: turn_piece(t, True)).alias("context"),
+        F.transform(F.concat(F.when(F.col("w") == 0, F.col("fixed")).otherwise(F.slice("fixed", 1, 0)),
+                             F.slice("rest", F.col("start") + 1, F.col("end") - F.col("start"))), lambda t: turn_piece(t, False)).alias("own"))
+    pieces = dealt.select("conv_id", "window", "tokens", F.size("context").alias("n_context"), F.concat("context", "own").alias("turns"))
+    span = lambda at, x: F.when(x["answer"], F.struct((at + x["head"]).alias("s"), (at + x["head"] + x["size"]).alias("e")))
+    spans = scan_array(F.col("turns"), F.lit(0), lambda at, x: at + F.length(x["piece"]), span, "struct<s:int,e:int>")
+    return pieces.select("conv_id", "window", F.array_join(F.transform("turns", lambda x: x["piece"]), "").alias("formatted"), "n_context",
+                         F.filter(spans, lambda x: x.isNotNull()).alias("loss"), "tokens")
+
+
+def turn_piece(t: Column, context: bool) -> Column:
+    """A turn as it is written, the lengths of its head and text, and whether it is under the loss mask."""
+    head = F.concat(F.lit(START), F.url_encode(t["role"]), F.lit("\n"))
+    return F.struct(F.concat(head, escape(t["text"]), F.lit(END)).alias("piece"), F.length(head).alias("head"), F.length(escape(t["text"])).alias("size"),
+                    (F.lit(not context) & (t["role"] == "assistant")).alias("answer"))
 
 
 def read_windows(windows: DataFrame) -> DataFrame:

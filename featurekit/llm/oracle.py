@@ -69,19 +69,27 @@ FROM q JOIN f ON q.d = f.d
 """
 
 OP8 = rf"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, i, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
 p AS (SELECT *, row_number() OVER o AS pos FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-f AS (SELECT *, role = 'system' AND pos = 1 AS fixed FROM p),
-k AS (SELECT *, CASE WHEN fixed THEN 0 ELSE len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s]')) END AS tokens FROM f),
-b AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens AS before FROM k),
-w AS (SELECT *, before // {chat.BUDGET} AS win FROM b),
-e AS (SELECT *, max(before + tokens) OVER (PARTITION BY conv_id, win) AS upto, max(win) OVER (PARTITION BY conv_id) AS last FROM w),
-c AS (SELECT conv_id, count(DISTINCT win) AS wins FROM w GROUP BY 1),
-g AS (SELECT e.*, CASE WHEN fixed THEN wins WHEN win < last AND upto - before <= {chat.HISTORY} THEN 2 ELSE 1 END
-        * (12 + length(url_encode(role)) + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 11) AS chars
-      FROM e JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id)
+k AS (SELECT *, role = 'system' AND pos = 1 AS fixed, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s]')) AS n FROM p),
+y AS (SELECT conv_id, coalesce(max(CASE WHEN fixed THEN n END), 0) AS sys, bool_or(fixed) AS has FROM k GROUP BY 1),
+u AS (SELECT k.*, sys, pos - CASE WHEN has THEN 1 ELSE 0 END AS i,
+        coalesce(sum(CASE WHEN fixed THEN 0 ELSE n END) OVER (PARTITION BY k.conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+      FROM k JOIN y ON y.conv_id IS NOT DISTINCT FROM k.conv_id),
+w AS (SELECT conv_id, i, b, n, sys, 0 AS win, n AS used FROM u WHERE i = 1
+  UNION ALL SELECT u.conv_id, u.i, u.b, u.n, u.sys,
+    CASE WHEN w.used + u.n <= {chat.BUDGET} - u.sys - CASE WHEN w.win = 0 THEN 0 ELSE {chat.HISTORY} END THEN w.win ELSE w.win + 1 END,
+    CASE WHEN w.used + u.n <= {chat.BUDGET} - u.sys - CASE WHEN w.win = 0 THEN 0 ELSE {chat.HISTORY} END THEN w.used + u.n ELSE u.n END
+  FROM w JOIN u ON u.conv_id IS NOT DISTINCT FROM w.conv_id AND u.i = w.i + 1),
+e AS (SELECT conv_id, win, min(b) AS b, greatest(0, least({chat.HISTORY}, {chat.BUDGET} - min(sys) - sum(n))) AS room FROM w GROUP BY 1, 2),
+c AS (SELECT conv_id, count(*) AS wins FROM e GROUP BY 1),
+o AS (SELECT u.*, 1 + CASE WHEN fixed THEN coalesce(wins, 1) - 1 ELSE (SELECT count(*) FROM e WHERE e.conv_id IS NOT DISTINCT FROM u.conv_id
+         AND e.win > w.win AND e.b - u.b <= e.room) END AS times
+      FROM u LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM u.conv_id AND w.i = u.i AND NOT u.fixed
+      LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM u.conv_id),
+g AS (SELECT *, times * (12 + length(url_encode(role)) + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 11) AS chars FROM o)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
