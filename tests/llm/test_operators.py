@@ -334,7 +334,7 @@ def test_language_beyond_the_broadcast_bound(spark, awkward, monkeypatch):
         key = lambda r: (str(r.doc_id), r.held_out, r.lang_pred, r.score)
         want = sorted(language.identify_languages(df).collect(), key=key)
         with monkeypatch.context() as m:
-            m.setattr(language, "MAX_GRAMS", 50)
+            m.setattr(language, "MODEL_BYTES", 50)
             got = sorted(language.identify_languages(df).collect(), key=key)
         assert [tuple(r)[:3] for r in got] == [tuple(r)[:3] for r in want]
         assert [r.score for r in got] == pytest.approx([r.score for r in want], abs=1e-3)
