@@ -78,11 +78,17 @@ def nan_to_null(df: DataFrame, cols=None) -> DataFrame:
     return df.select(*exprs)
 
 
-def require_unique(df: DataFrame, key: str, who: str) -> None:
+def group_of(by: list[str]) -> Column:
+    """One string for the columns ``by``; NULLs are values like any other."""
+    return F.to_json(F.struct(*[col(c) for c in by]))
+
+
+def require_unique(df: DataFrame, key: str | list[str], who: str) -> None:
     """Raises when two rows share a key (partial counts inside the tasks first, then one shuffle of keys)."""
-    twice = df.groupBy(col(key).alias("k")).count().where("count > 1").select("k").take(1)
+    keys = [key] if isinstance(key, str) else list(key)
+    twice = df.groupBy(*[col(c).alias(f"k{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
     if twice:
-        raise ValueError(f"{who}: key {key!r} is not unique ({twice[0][0]!r} occurs more than once)")
+        raise ValueError(f"{who}: key {', '.join(map(repr, keys))} is not unique ({', '.join(repr(x) for x in twice[0][:-1])} occurs more than once)")
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:

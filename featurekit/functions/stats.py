@@ -7,11 +7,16 @@ on the driver.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Groups whose brackets are broadcast; beyond it they are joined with a shuffle.
+MAX_GROUPS_SENT = 50_000
+
+
 def rint2(c: Column) -> Column:
     """Round to 2 places with round-half-even on the binary value, as ``numpy.round`` does (trap T9)."""
     return F.rint(c * F.lit(100.0)) / F.lit(100.0)
@@ -146,3 +151,94 @@ def exact_quantiles_multi(df: DataFrame, requests: list[tuple[Column, list[float
         # same interpolation form as Spark's percentile, so both modes agree to the last bit
         results[r][i] = a if i1 == i0 else (i1 - rk) * a + (rk - i0) * b
     return results
+
+
+NARROW = 1024        # equal parts into which a bracket that holds too many rows is cut
+
+
+def exact_quantiles_by(df: DataFrame, group: Column, requests: list[tuple[Column, list[float]]], *,
+                       accuracy: int = 10000, max_bracket_rows: int = 2_000_000) -> DataFrame:
+    """Exact linearly interpolated quantiles of every group, ``__g`` and ``q{r}`` (an array) per request; all groups in the same jobs.
+
+    As :func:`exact_quantiles_multi`: brackets around the wanted ranks, counts below and inside, then the values inside.
+    Brackets and results of the groups are tables, joined with the rows (broadcast up to MAX_GROUPS_SENT groups), so there may be as many groups as
+    rows.  A bracket of more than ``max_bracket_rows`` rows is cut into NARROW equal parts, and shrinks to those that hold the ranks.
+    """
+    from featurekit.session import durable
+
+    xs = [f"__x{r}" for r in range(len(requests))]
+    base = df.select(group.alias("__g"), *[c.cast("double").alias(x) for (c, _), x in zip(requests, xs)])
+    eps = 2.0 / accuracy
+    cells = [(r, i, p) for r, (_, probs) in enumerate(requests) for i, p in enumerate(probs)]
+    aggs = []
+    for r, (_, probs) in enumerate(requests):
+        x = xs[r]
+        aggs += [F.count(x).alias(f"n{r}"), F.min(x).alias(f"mn{r}"), F.max(x).alias(f"mx{r}"),
+                 F.percentile_approx(x, [max(0.0, p - eps) for p in probs], accuracy).alias(f"a{r}"),
+                 F.percentile_approx(x, [min(1.0, p + eps) for p in probs], accuracy).alias(f"b{r}")]
+    state = base.groupBy("__g").agg(*aggs)
+    state = durable(state.select(
+        "__g", *[c for r in range(len(requests)) for c in (f"n{r}", f"mn{r}", f"mx{r}")],
+        *[x for r, i, _ in cells for x in (F.get(f"a{r}", F.lit(i)).alias(f"lo{r}_{i}"), F.get(f"b{r}", F.lit(i)).alias(f"hi{r}_{i}"),
+                                           F.lit(None).cast("double").alias(f"v{r}_{i}"), (F.col(f"n{r}") == 0).alias(f"done{r}_{i}"))]))
+
+    def inside(r, i):
+        return ~F.col(f"done{r}_{i}") & F.col(xs[r]).between(F.col(f"lo{r}_{i}"), F.col(f"hi{r}_{i}"))
+
+    def ranks(r, p):
+        rank = F.lit(p) * (F.col(f"n{r}") - 1)
+        return rank, F.floor(rank), F.ceil(rank)
+
+    undone = reduce(lambda a, b: a | b, [~F.col(f"done{r}_{i}") for r, i, _ in cells])
+    for _ in range(40):
+        todo = state.where(undone)
+        groups = todo.count()
+        if not groups:
+            break
+
+        def rows(columns):
+            known = todo.select("__g", *columns)
+            return base.join(F.broadcast(known) if groups <= MAX_GROUPS_SENT else known, "__g")
+
+        brackets = [x for r, i, _ in cells for x in (f"lo{r}_{i}", f"hi{r}_{i}", f"done{r}_{i}")]
+        counts = rows(brackets).groupBy("__g").agg(*[x for r, i, _ in cells for x in (
+            F.count(F.when(~F.col(f"done{r}_{i}") & (F.col(xs[r]) < F.col(f"lo{r}_{i}")), 1)).alias(f"c{r}_{i}"), F.count(F.when(inside(r, i), 1)).alias(f"k{r}_{i}"))])
+        kinds = {}
+        for r, i, p in cells:
+            _, first, last = ranks(r, p)
+            below, held = F.col(f"c{r}_{i}"), F.col(f"k{r}_{i}")
+            kinds[f"s{r}_{i}"] = (F.when(F.col(f"done{r}_{i}"), "done").when(~((below <= first) & (last < below + held)), "missed")
+                                  .when(F.col(f"lo{r}_{i}") == F.col(f"hi{r}_{i}"), "one").when(held > max_bracket_rows, "many").otherwise("ready"))
+        todo = durable(todo.join(counts, "__g").withColumns(kinds))
+        sorted_in = {(r, i): F.array_sort(F.collect_list(F.when((F.col(f"s{r}_{i}") == "ready") & inside(r, i), F.col(xs[r])))) for r, i, _ in cells}
+        got = rows([*brackets, *kinds]).groupBy("__g").agg(*[x.alias(f"in{r}_{i}") for (r, i), x in sorted_in.items()])
+        found = todo.join(got, "__g")
+        # the parts of brackets with too many rows, and how many rows each has
+        for r, i, p in cells:
+            if not todo.where(F.col(f"s{r}_{i}") == "many").take(1):
+                found = found.withColumns({f"plo{r}_{i}": F.lit(None).cast("double"), f"phi{r}_{i}": F.lit(None).cast("double")})
+                continue
+            x, lo, hi = F.col(xs[r]), F.col(f"lo{r}_{i}"), F.col(f"hi{r}_{i}")
+            _, first, last = ranks(r, p)
+            part = F.least(F.floor((x / 2 - lo / 2) / (hi / 2 - lo / 2) * NARROW), F.lit(NARROW - 1))
+            cut = (rows([f"lo{r}_{i}", f"hi{r}_{i}", f"done{r}_{i}", f"s{r}_{i}", f"c{r}_{i}", f"n{r}"]).where((F.col(f"s{r}_{i}") == "many") & inside(r, i))
+                   .groupBy("__g", part.alias("part")).agg(F.count(F.lit(1)).alias("c"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+                                                           F.first(first - F.col(f"c{r}_{i}")).alias("f"), F.first(last - F.col(f"c{r}_{i}")).alias("l")))
+            upto = F.sum("c").over(Window.partitionBy("__g").orderBy("part"))           # at most NARROW rows in a group
+            holds = cut.withColumn("to", upto).where((F.col("to") > F.col("f")) & (F.col("to") - F.col("c") <= F.col("l")))
+            found = found.join(holds.groupBy("__g").agg(F.min("lo").alias(f"plo{r}_{i}"), F.max("hi").alias(f"phi{r}_{i}")), "__g", "left")
+        columns = {}
+        for r, i, p in cells:
+            rank, first, last = ranks(r, p)
+            kind, lo, hi, own = F.col(f"s{r}_{i}"), F.col(f"lo{r}_{i}"), F.col(f"hi{r}_{i}"), F.col(f"in{r}_{i}")
+            at = lambda k: F.get(own, (k - F.col(f"c{r}_{i}")).cast("int"))  # noqa: E731, B023
+            value = F.when(first == last, at(first)).otherwise((last - rank) * at(first) + (rank - first) * at(last))
+            columns |= {f"v{r}_{i}": F.when(kind == "one", lo).when(kind == "ready", value).otherwise(F.col(f"v{r}_{i}")),
+                        f"done{r}_{i}": kind.isin("done", "one", "ready"),
+                        f"lo{r}_{i}": F.when(kind == "missed", F.col(f"mn{r}")).when(kind == "many", F.col(f"plo{r}_{i}")).otherwise(lo),
+                        f"hi{r}_{i}": F.when(kind == "missed", F.col(f"mx{r}")).when(kind == "many", F.col(f"phi{r}_{i}")).otherwise(hi)}
+        found = found.withColumns(columns).select(state.columns)
+        state = durable(state.where(~undone).unionByName(found))
+    else:
+        raise ValueError("exact_quantiles_by: brackets did not converge")
+    return state.select("__g", *[F.array(*[F.col(f"v{r}_{i}") for i in range(len(probs))]).alias(f"q{r}") for r, (_, probs) in enumerate(requests)])

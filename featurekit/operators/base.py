@@ -12,12 +12,19 @@ fuse several fits into one job:
 * ``fit_kind = "grouped"`` - per-category aggregates (target encoding): ``group_key`` +
   ``group_aggs`` + ``from_group_table``; fused stages share one ``GROUPING SETS`` job
 * ``fit_kind = "own"``     - runs its own jobs (correlation pruning, KNN, one-hot)
+
+Fits by groups (``keyed``): the same aggregates with the group as a key, in the same number of jobs whatever the number of
+groups.  What is fitted then is a table with a row per group, and the model joins it.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+from featurekit.contracts import group_of
+from featurekit.functions.stats import MAX_GROUPS_SENT
 
 
 class Stage(Estimator):
@@ -54,6 +61,17 @@ class Stage(Estimator):
     def validate(self, df: DataFrame) -> None:
         """Schema checks at plan time (no job)."""
 
+    # -- fits of many groups at once ------------------------------------------------------------
+    def keyed(self, by: list[str], keep: list[str] = ()) -> "Stage":
+        """The stage to fit for every group of rows with equal values of ``by``; ``keep`` are columns to carry along."""
+        if self.fit_kind == "own":
+            raise ValueError(f"{type(self).__name__} can't be fitted by groups: its columns would differ between them")
+        return self
+
+    def keyed_model(self, fitted: DataFrame, by: list[str], groups: int) -> "StageModel":
+        """The model of all groups, from a table with ``__g`` and this stage's aggregates (``q``: its quantiles)."""
+        raise NotImplementedError
+
     def _fit(self, df: DataFrame) -> "StageModel":
         # Single-stage fit goes through the same fused planner with a group of one.
         from featurekit.plans.chain import fit_group
@@ -100,3 +118,11 @@ class Stateless(Stage):
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model().transform(df)
+
+
+def join_groups(df: DataFrame, fitted: DataFrame, by: list[str], groups: int, *and_on: Column) -> DataFrame:
+    """``df`` with the columns of its group's row of ``fitted`` (``__g`` and others), which is broadcast up to MAX_GROUPS_SENT rows."""
+    cond = group_of(by) == F.col("__g")
+    for c in and_on:
+        cond = cond & c
+    return df.join(F.broadcast(fitted) if groups <= MAX_GROUPS_SENT else fitted, cond, "left")

@@ -60,6 +60,9 @@ class KeepColumns(Stateless):
             raise TypeError("KeepColumns: columns must be a list")
         self.columns = columns
 
+    def keyed(self, by: list[str], keep: list[str] = ()) -> "KeepColumns":
+        return KeepColumns([*self.columns, *[c for c in (*by, *keep) if c not in self.columns]])
+
     def reads(self):
         return set(self.columns)
 

@@ -376,15 +376,57 @@ def recipe_sql() -> dict[str, str]:
 
 
 def _split_scan_sql(seeds) -> str:
-    """Per seed: recipe C, a 5-nearest-neighbour vote of its training rows, F1 on both sides; then the choice."""
+    """Recipe C, a 5-nearest-neighbour vote of the training rows and F1 on both sides, all by seed; then the choice."""
     feats = [c for c in src.HOMERUN if c != "y"]
-    terms = [f"(q.{f} - d.{f}) * (q.{f} - d.{f})" for f in feats]
-    ss = terms[0]
-    for t in terms[1:]:
-        ss = f"({ss}) + {t}"
-    parts = [f"""SELECT {seed} AS seed, q.doc_id, q.y, q.is_test, d.y AS dy, row_number() OVER (PARTITION BY q.doc_id
-         ORDER BY sqrt({ss}), d.doc_id) AS rn FROM p{seed} q, p{seed} d WHERE NOT d.is_test""" for seed in seeds]
-    prepared = ",\n ".join(f"p{seed} AS ({_homerun_sql(seed).replace('round(', '(').replace(', 6)', ')')})" for seed in seeds)
+    clipped = ["launch_speed", "launch_angle"]
+    p = len(feats)
+    base = f"(SELECT doc_id, {', '.join(f'{e} AS {c}' for c, e in src.HOMERUN.items())} FROM {HOMERUN_BASE})"
+    sizes = _split_cte(base, "y", "doc_id", 0, 0.2).split(" split_r AS")[0]
+    ctes = [f"s AS (SELECT unnest({list(seeds)}) AS seed)", f"b AS {base}", sizes.strip().rstrip(","),
+            """split AS (SELECT r.* EXCLUDE (rn), r.rn <= a.n - a.train_c AS is_test FROM (SELECT s.seed, b.*, row_number() OVER (PARTITION BY s.seed, b.y
+               ORDER BY md5(concat_ws('|', b.doc_id, s.seed)), b.doc_id) AS rn FROM b, s) r JOIN split_a a ON r.y = a.y)""",
+            "g AS (SELECT seed, avg(y) AS gm FROM split WHERE NOT is_test GROUP BY 1)"]
+    first, second, joins = [], [], ["split x JOIN g ON g.seed = x.seed"]
+    for i, c in enumerate(feats):
+        if c in HOMERUN_ENCODERS:
+            ctes.append(f"e{i} AS (SELECT seed, {c} AS v, count(*) AS n, avg(y) AS mc FROM split WHERE NOT is_test AND {c} IS NOT NULL GROUP BY 1, 2)")
+            first.append(f"{_enc_expr(f'e{i}', HOMERUN_ENCODERS[c])} AS {c}")
+            joins.append(f"LEFT JOIN e{i} ON x.{c} = e{i}.v AND e{i}.seed = x.seed")
+        else:
+            ctes.append(_quartiles(f"t{i}q", "split", c).strip().replace("SELECT ", "SELECT seed, ").replace("is_test)", "is_test GROUP BY seed)"))
+            first.append(f"{_clip('x.' + c, f't{i}q', 3.0)} AS {c}")
+            joins.append(f"JOIN t{i}q ON t{i}q.seed = x.seed")
+    ctes.append(f"t1 AS (SELECT x.seed, x.doc_id, x.y, x.is_test, {', '.join(first)} FROM {' '.join(joins)})")
+    scaled = ["t1 x"]
+    for i, c in enumerate(feats):
+        if c in clipped:
+            ctes.append(_quartiles(f"r{i}q", "t1", c, median=True).strip().replace("SELECT ", "SELECT seed, ").replace("is_test)", "is_test GROUP BY seed)"))
+            scaled.append(f"JOIN r{i}q ON r{i}q.seed = x.seed")
+        second.append(f"{_robust('x.' + c, f'r{i}q')} AS {c}" if c in clipped else f"x.{c}")
+    ctes.append(f"t2 AS MATERIALIZED (SELECT x.seed, x.doc_id, x.y, x.is_test, {', '.join(second)} FROM {' '.join(scaled)})")
+    both = [f"q.{f} IS NOT NULL AND d.{f} IS NOT NULL" for f in feats]
+    gaps = [f"(q.{f} - d.{f}) * (q.{f} - d.{f})" for f in feats]
+
+    def total(terms: list[str]) -> str:
+        out = terms[0]
+        for t in terms[1:]:
+            out = f"({out}) + {t}"
+        return out
+
+    common = " + ".join(f"(CASE WHEN {x} THEN 1 ELSE 0 END)" for x in both)
+    shared = total([f"(CASE WHEN {x} THEN {t} ELSE 0.0::DOUBLE END)" for x, t in zip(both, gaps)])
+    value = "CASE q.t " + " ".join(f"WHEN {j} THEN d.{f}" for j, f in enumerate(feats)) + " END"
+    queries = " UNION ALL ".join(f"SELECT seed, doc_id, {j} AS t, {', '.join(feats)} FROM t2 WHERE {f} IS NULL" for j, f in enumerate(feats))
+    ctes += [f"kq AS ({queries})",
+             f"km AS (SELECT seed, {', '.join(f'avg({f}) AS m{j}' for j, f in enumerate(feats))} FROM t2 WHERE NOT is_test GROUP BY 1)",
+             f"kp AS (SELECT q.seed, q.doc_id AS qk, q.t, d.doc_id AS dk, {common} AS nc, {shared} AS ss, {value} AS v FROM kq q JOIN t2 d ON d.seed = q.seed AND NOT d.is_test)",
+             f"kr AS (SELECT seed, qk, t, v, row_number() OVER (PARTITION BY seed, qk, t ORDER BY sqrt({float(p)}::DOUBLE / nc * ss), dk) AS rn FROM kp WHERE nc > 0 AND v IS NOT NULL)",
+             "ki AS (SELECT seed, qk, t, avg(v) AS iv FROM kr WHERE rn <= 5 GROUP BY ALL)"]
+    filled = ", ".join(f"coalesce(x.{f}, i{j}.iv, m{j}) AS {f}" for j, f in enumerate(feats))
+    looked_up = " ".join(f"LEFT JOIN ki i{j} ON i{j}.seed = x.seed AND i{j}.qk = x.doc_id AND i{j}.t = {j}" for j in range(p))
+    ctes += [f"t3 AS MATERIALIZED (SELECT x.seed, x.doc_id, x.y, x.is_test, {filled} FROM t2 x JOIN km ON km.seed = x.seed {looked_up})",
+             f"near AS (SELECT q.seed, q.doc_id, q.y, q.is_test, d.y AS dy, row_number() OVER (PARTITION BY q.seed, q.doc_id ORDER BY sqrt({total(gaps)}), d.doc_id) AS rn "
+             "FROM t3 q JOIN t3 d ON d.seed = q.seed AND NOT d.is_test)"]
     f1 = "2 * {0} / nullif(2 * {0} + {1} + {2}, 0)"
 
     def count(test: str, y: int, pred: int) -> str:
@@ -392,8 +434,7 @@ def _split_scan_sql(seeds) -> str:
 
     train, tests = [f1.format(*[count(t, *yp) for yp in ((1, 1), (0, 1), (1, 0))]) for t in ("NOT is_test", "is_test")]
     return f"""
-WITH {prepared},
- near AS ({" UNION ALL ".join(parts)}),
+WITH {", ".join(ctes)},
  votes AS (SELECT seed, doc_id, y, is_test, CAST(avg(dy) > 0.5 AS INTEGER) AS p FROM near WHERE rn <= 5 GROUP BY ALL),
  f AS (SELECT seed, coalesce({train}, 0) AS train_f1, coalesce({tests}, 0) AS test_f1 FROM votes GROUP BY seed),
  r AS (SELECT seed, train_f1, CASE WHEN train_f1 >= 0.1 THEN test_f1 END AS test_f1,

@@ -23,7 +23,7 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.contracts import col
+from featurekit.contracts import col, group_of, require_columns
 from featurekit.operators.base import Stage, StageModel
 
 log = logging.getLogger("featurekit")
@@ -58,6 +58,51 @@ def fit_group(stages: list[Stage], df: DataFrame) -> list[StageModel]:
     return [models[id(s)] for s in stages]
 
 
+def fit_group_by(stages: list[Stage], df: DataFrame, by: list[str]) -> list[StageModel]:
+    """As :func:`fit_group` for every group of rows with equal values of ``by``: as many jobs as for one group."""
+    from featurekit.functions.stats import exact_quantiles_by
+    from featurekit.operators.target import TargetEncodeByGroup
+    from featurekit.session import durable
+
+    require_columns(df, by, "FeatureChain")
+    for s in stages:
+        s.validate(df)
+    models: dict[int, StageModel] = {}
+    own = group_of(by)
+    quant = [s for s in stages if s.fit_kind == "quantile"]
+    glob = [s for s in stages if s.fit_kind == "global"]
+    grouped = [s for s in stages if s.fit_kind == "grouped"]
+    tables = []
+    if quant:
+        found = exact_quantiles_by(df, own, [s.quantile_request(df) for s in quant])
+        tables.append((quant, durable(found.select("__g", *[F.col(f"q{r}").alias(s.alias("q")) for r, s in enumerate(quant)]))))
+    if glob:
+        tables.append((glob, durable(df.groupBy(own.alias("__g")).agg(*[a for s in glob for a in s.global_aggs(df)]))))
+    for members, fitted in tables:
+        groups = fitted.count()
+        for s in members:
+            models[id(s)] = s.keyed_model(fitted, by, groups)
+    if grouped:
+        keys = list(dict.fromkeys(s.group_key() for s in grouped))
+        base = df.withColumn("__g", own)
+        sets = [[F.col("__g"), col(k)] for k in keys] + [[F.col("__g")]]
+        fused = durable(base.groupingSets(sets, F.col("__g"), *[col(k) for k in keys]).agg(
+            F.grouping_id().alias("__gid"), *[a for s in grouped for a in s.group_aggs(df)]))
+        every = (1 << len(keys)) - 1
+        overall = fused.where(F.col("__gid") == every)
+        for s in grouped:
+            i = keys.index(s.group_key())
+            table = fused.where(F.col("__gid") == every - (1 << (len(keys) - 1 - i))).select(
+                "__g", col(keys[i]).alias("value"), *[F.col(s.alias(x)).alias(x) for x in ("n", "sy", "ny")])
+            sums = overall.select("__g", F.col(s.alias("sy")).alias("gsy"), F.col(s.alias("ny")).alias("gny"))
+            encoded = durable(s.keyed_table(table, sums))
+            models[id(s)] = TargetEncodeByGroup(s.column, by, encoded, encoded.count())
+    for s in stages:
+        if s.fit_kind in ("none", "own"):
+            models[id(s)] = s.fit(df)
+    return [models[id(s)] for s in stages]
+
+
 def _fit_grouped(stages: list[Stage], df: DataFrame) -> list[StageModel]:
     from featurekit.session import durable
 
@@ -95,11 +140,19 @@ class FeatureChainModel(Model):
 
 
 class FeatureChain(Stage):
-    """An ordered list of stages fitted sequentially with fusion; ``fuse=False`` fits one by one."""
+    """An ordered list of stages fitted sequentially with fusion; ``fuse=False`` fits one by one.
 
-    def __init__(self, stages: list[Stage], fuse: bool = True) -> None:
+    With ``by``, every group of rows with equal values there is fitted on its own, all of them in the same jobs; the
+    columns of ``by`` stay, and so do those of ``keep`` where a stage drops what it doesn't know.
+    """
+
+    def __init__(self, stages: list[Stage], fuse: bool = True, by: list[str] = (), keep: list[str] = ()) -> None:
         super().__init__()
-        self.stages, self.fuse = list(stages), fuse
+        self.by = list(by)
+        self.stages, self.fuse = [s.keyed(self.by, list(keep)) for s in stages] if self.by else list(stages), fuse
+
+    def keyed(self, by: list[str], keep: list[str] = ()) -> "FeatureChain":
+        return FeatureChain(self.stages, self.fuse, by, keep)
 
     def reads(self):
         return set().union(*[s.reads() for s in self.stages]) if self.stages else set()
@@ -158,7 +211,7 @@ class FeatureChain(Stage):
                 if s.fit_kind == "none":
                     frame = s.fit(frame).transform(frame)
             fitted = [s for s in group if s.fit_kind != "none"]
-            fitted_models = iter(fit_group(fitted, frame) if fitted else [])
+            fitted_models = iter((fit_group_by(fitted, frame, self.by) if self.by else fit_group(fitted, frame)) if fitted else [])
             by_stage = {}
             for s in group:
                 by_stage[id(s)] = next(fitted_models) if s.fit_kind != "none" else s.fit(current)
