@@ -308,16 +308,13 @@ def split_scan(spark, d):
 
 
 def halving(spark, d):
-    from pyspark.ml.classification import LogisticRegression
-
-    from featurekit.plans.search import halving_search
+    from featurekit.plans.search import halving_logistic
 
     s = src.scored_documents(spark, d).select("doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
                                               "score")
     grid = {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]}
-    res, _, _ = halving_search(s, "quality", "doc_id", ["n_chars", "score"],
-                               lambda p: LogisticRegression(maxIter=50, **p), grid)
-    return res.select("rung", "candidate_id", "params", "n_rows", "survived")
+    res, _, _ = halving_logistic(s, "quality", "doc_id", ["n_chars", "score"], grid)
+    return _r6(res, ["mean_score", "std_score"])
 
 
 QUERIES.update({
