@@ -67,8 +67,8 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     allowed = F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("system") - new))
     repeated = F.filter(F.sequence(F.lit(0), F.col("start")), lambda j: (j < F.col("start")) & (total(F.col("start")) - F.get("before", j) <= allowed))
     dealt = one_by_one.select(
-        "conv_id", F.col("w").cast("long").alias("window"), F.col("system") + new + total(F.col("start")) - total(F.coalesce(F.get(repeated, F.lit(0)), F.col("start")))
-        .alias("tokens"),
+        "conv_id", F.col("w").cast("long").alias("window"),
+        (F.col("system") + new + total(F.col("start")) - total(F.coalesce(F.get(repeated, F.lit(0)), F.col("start")))).alias("tokens"),
         F.transform(F.concat(F.when(F.col("w") > 0, F.col("fixed")).otherwise(F.slice("fixed", 1, 0)),
                              F.slice("rest", F.coalesce(F.get(repeated, F.lit(0)), F.col("start")) + 1, F.size(repeated))), lambda t: turn_piece(t, True)).alias("context"),
         F.transform(F.concat(F.when(F.col("w") == 0, F.col("fixed")).otherwise(F.slice("fixed", 1, 0)),
