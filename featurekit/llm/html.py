@@ -82,10 +82,11 @@ class Block(NamedTuple):
     links: int               # characters of the text inside links
 
 
-def says_aside(value: str) -> bool:
-    """Whether a class or id is made of MARKS and LAYOUT words alone, with one of MARKS; numbers don't count."""
+def says_aside(value: str, inside: bool = False) -> bool:
+    """Whether a class or id is made of MARKS and LAYOUT words alone, with one of MARKS (outside articles, "header" is one); numbers don't count."""
     words = [w for w in (x.lower() for x in _WORDS.findall(value)) if not w.isdigit()]
-    return any(w in MARKS for w in words) and all(w in MARKS or w in LAYOUT for w in words)
+    marks = MARKS if inside or not MARKS else MARKS | {"header"}
+    return any(w in marks for w in words) and all(w in marks or w in LAYOUT for w in words)
 
 
 def _element(name: str, attrs: str, inside: bool) -> tuple[bool, bool, str]:
@@ -99,10 +100,10 @@ def _element(name: str, attrs: str, inside: bool) -> tuple[bool, bool, str]:
             elif key == "role":
                 aside |= value.strip().lower() in ROLES
             elif key == "id":
-                says |= says_aside(value)
+                says |= says_aside(value, inside)
             elif key == "class":
                 names = value.split()
-                says |= any(map(says_aside, names)) or (not inside and "header" in map(str.lower, names))
+                says |= any(says_aside(x, inside) for x in names)
                 label += "." + ".".join(sorted(names))
     return aside, says, label
 
@@ -229,10 +230,12 @@ def follow(tokens: list[int], class_of: dict[int, int]) -> tuple[dict[int, str |
             else:
                 while open_ and open_[-1][0] != c and open_[-1][1] == len(cycles[open_[-1][0]]) - 1:
                     open_.pop()                                  # complete repetitions end with the token around them
-                if open_ and open_[-1] == [c, at - 1]:
+                if [c, at - 1] in open_:
+                    while open_[-1] != [c, at - 1]:
+                        cycles[open_.pop()[0]] = None            # still open inside: it overlaps this class
                     open_[-1][1] = at
                 else:
-                    cycles[c] = None                             # it overlaps another class
+                    cycles[c] = None
                     open_ = [x for x in open_ if x[0] != c]
         slots.append(tuple(open_[-1]) if open_ else None)
     said = {c: f"{cycle} {next(iter(parent[c]))}" if (cycle := cycles[c]) and len(parent.get(c, ())) == 1 else None for c in seen}
