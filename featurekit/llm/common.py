@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from featurekit.session import durable, ensure_checkpoint_dir
 
-__all__ = ["BROADCAST_BYTES", "WS", "ascii_lower", "bitmap", "durable", "ensure_checkpoint_dir", "in_bitmap",
-           "let", "match_spans", "maybe_broadcast", "scan_array", "table", "whole_row", "words"]
+__all__ = ["BROADCAST_BYTES", "WS", "apart_from", "ascii_lower", "bitmap", "durable", "ensure_checkpoint_dir", "in_bitmap",
+           "let", "marked_apart", "match_spans", "maybe_broadcast", "scan_array", "table", "whole_row", "words"]
 
 #: White space between words, as every word rule of this subpackage has it.
 WS = r"[\x20\x09-\x0D]+"
@@ -101,6 +101,35 @@ def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | N
     return let(found, lambda m: F.when(F.size(m) > 0, positions(m)).otherwise(F.array().cast(f"array<{kind}>")))
 
 
+def marked_apart(spans: Column, others: Column) -> Column:
+    """``array<struct<x,apart>>``: ``spans`` (structs with ``s`` and ``e``, not empty) by start, and whether none of ``others`` overlaps them.
+
+    About n log n: in order of the starts, a span overlaps one before it if the furthest end so far is past its start, and
+    one after it if the next start lies before its end.
+    """
+    far = (1 << 31) - 1
+    tag = lambda x, own, whole: F.struct(x["s"].alias("s"), F.lit(own).alias("own"), x["e"].alias("e"), whole.alias("x"))
+
+    def merged(own: Column, other: Column) -> Column:
+        none = F.get(own, F.lit(-1))
+        return F.array_sort(F.concat(F.transform(other, lambda x: tag(x, 0, none)), F.transform(own, lambda x: tag(x, 1, x))))
+
+    def checked(xs: Column) -> Column:
+        reached = scan_array(xs, F.lit(0), lambda a, x: F.when(x["own"] == 0, F.greatest(a, x["e"])).otherwise(a), lambda a, x: a <= x["s"], "boolean")
+        follows = F.reverse(scan_array(F.reverse(xs), F.lit(far), lambda a, x: F.when(x["own"] == 0, x["s"]).otherwise(a), lambda a, x: a >= x["e"], "boolean"))
+        rows = F.arrays_zip(xs.alias("i"), reached.alias("a"), follows.alias("b"))
+        return F.transform(F.filter(rows, lambda r: r["i"]["own"] == 1), lambda r: F.struct(r["i"]["x"].alias("x"), (r["a"] & r["b"]).alias("apart")))
+
+    alone = lambda own: F.transform(own, lambda x: F.struct(x.alias("x"), F.lit(True).alias("apart")))
+    return let(spans, lambda own: let(others, lambda other: F.when(
+        (F.size(other) == 0) | (F.size(own) == 0), alone(own)).otherwise(let(merged(own, other), checked))))
+
+
+def apart_from(spans: Column, others: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``others``, by start."""
+    return F.transform(F.filter(marked_apart(spans, others), lambda r: r["apart"]), lambda r: r["x"])
+
+
 def bitmap(values: DataFrame, column: str) -> Column:
     """A membership filter of fixed size over a bigint column: an array literal of 2**18 bits.
 
