@@ -198,7 +198,7 @@ def _identify_by_join(docs: DataFrame, counts: DataFrame) -> DataFrame:
     total = priced.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
                                       F.array(*[F.sum(F.col("n") * F.get("bits", F.lit(i))) for i in range(len(langs))]).alias("bits"))
     least = F.array_min("bits")
-    score = 1 / F.aggregate("bits", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), -F.least(x - least, F.lit(1000.0))))
+    score = F.when(least.isNotNull(), 1 / F.aggregate("bits", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), -F.least(x - least, F.lit(1000.0)))))
     names = F.array(*[F.lit(x) for x in langs])
     return total.select("doc_id", "held_out", F.coalesce(F.get(names, (F.array_position("bits", least) - 1).cast("int")), F.lit(UNKNOWN)).alias("lang_pred"),
                         F.coalesce(score, F.lit(0.0)).alias("score"))
