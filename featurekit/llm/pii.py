@@ -5,7 +5,7 @@ them, high-recall generators propose overlapping candidates: obfuscated addresse
 numbers, and digit groups of any punctuation.  Boosted trees score a candidate by its format and its context
 (cue words, neighbouring characters), never by the strict checks themselves.  They are fitted on weak labels (does
 a candidate pass a strict check once it is normalised: "(at)" and "(dot)" undone, separators dropped or unified?)
-of about ``MAX_TRAIN`` candidates, chosen by hash.  Those of one half that touch no base span, which
+of all candidates, one half of them by hash; equal ones are a row with a weight.  Those of the other half that touch no base span, which
 are what may be added, calibrate, per generator, the least score down to which candidates are labelled ``PRECISION`` of the time; where
 there are few of them the trees' own estimates count for ``PRIOR`` more.  Candidates above it that touch no base span are added.
 
@@ -43,7 +43,6 @@ CONTEXT = 24
 FEATURES = ["generator", "length", "digits", "letters", "separators", "groups", "longest", "distinct", "plus", "paren", "dots", "colons", "at",
             "before_word", "after_word", "before_space", "after_space", "same_digit"] + [f"cue{i}" for i in range(len(CUES))]
 
-MAX_TRAIN = 20_000
 PRECISION = 0.9
 #: Candidates that the trees' own estimate counts for beside those that calibrate a threshold.
 PRIOR = 5.0
@@ -161,9 +160,9 @@ class PiiModel:
 
 
 def fit(docs: DataFrame) -> PiiModel:
-    """Fit on weak labels of about MAX_TRAIN candidates, half of them for the thresholds.
+    """Fit on the weak labels of all candidates, half of them (by hash) for the trees and half for the thresholds.
 
-    Candidates are counted first, and chosen by a hash against a cut that follows from the count, before their features are computed.
+    Candidates of equal features and label are one row that weighs as much as there are of them.
     """
     t = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", t.alias("t")).withColumn("base", _base(F.col("t")))
@@ -171,31 +170,29 @@ def fit(docs: DataFrame) -> PiiModel:
     own = (rows.select("doc_id", "t", F.explode(marked_apart(places, F.col("base"))).alias("m"))
            .select("doc_id", "t", F.struct("m.x.*", (~F.col("m.apart")).alias("y")).alias("c"))
            .withColumn("h", F.xxhash64("doc_id", "c.s", "c.k", F.lit(SEED))))
-    n = own.count()
-    if n > MAX_TRAIN:
-        own = own.where(F.pmod("h", F.lit(1 << 30)) < int(MAX_TRAIN / n * (1 << 30)))
     s, e, k = F.col("c.s"), F.col("c.e"), F.col("c.k")
     m = F.substring(F.col("t"), s + 1, e - s)
     feature, label = F.lit(None).cast("array<double>"), F.lit(None).cast("boolean")
     for g in range(len(GENERATORS)):
         feature = F.when(k == BASE + g, _features(F.col("t"), g, s, e)).otherwise(feature)
         label = F.when(k == BASE + g, _personal(m, g)).otherwise(label)
-    sample = own.select("h", k.alias("k"), F.col("c.y").alias("y"), feature.alias("f"), F.coalesce(label, F.lit(False)).cast("int").alias("label"))
-    sample = durable(sample.select("*", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(FEATURES)]))
-    half = F.pmod(F.shiftright("h", 32), F.lit(2))
-    use = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    train = use.where(half == 0).select("features", F.col("label").cast("double").alias("label"))
+    alike = ["k", "y", "half", "label", "f"]
+    kinds = own.select(k.alias("k"), F.col("c.y").alias("y"), F.pmod(F.shiftright("h", 32), F.lit(2)).alias("half"),
+                       F.coalesce(label, F.lit(False)).cast("int").alias("label"), feature.alias("f")).groupBy(*alike).agg(F.count("*").alias("n"))
+    kinds = durable(kinds.sortWithinPartitions(*alike).select("*", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(FEATURES)]))
+    use = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(kinds)
+    train = use.where("half = 0").select("features", F.col("label").cast("double").alias("label"), F.col("n").cast("double").alias("n"))
     labels = [r["label"] for r in train.select("label").distinct().collect()]
     if not labels:
         return PiiModel()
-    model, alike = PiiModel(), labels[0] if len(labels) == 1 else None
-    if alike is None:
-        fitted = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED).fit(train)
+    model, alone = PiiModel(), labels[0] if len(labels) == 1 else None
+    if alone is None:
+        fitted = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED, weightCol="n").fit(train)
         model = PiiModel([tree._call_java("rootNode") for tree in fitted.trees], fitted.treeWeights)
-    bins = (sample.where((half != 0) & ~F.col("y")).withColumn("score", model.score(F.col("f"))).groupBy("k", F.floor(F.col("score") * BINS).alias("bin"))
-            .agg(F.count("*").alias("n"), F.sum("label").alias("p")).collect())        # BINS + 1 rows a generator
+    bins = (kinds.where("half <> 0 and not y").withColumn("score", model.score(F.col("f"))).groupBy("k", F.floor(F.col("score") * BINS).alias("bin"))
+            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("p")).collect())        # BINS + 1 rows a generator
     for k in range(BASE, BASE + len(GENERATORS)):
-        model.thresholds[k] = threshold({r["bin"]: (r["n"], r["p"]) for r in bins if r["k"] == k}, alike)
+        model.thresholds[k] = threshold({r["bin"]: (r["n"], r["p"]) for r in bins if r["k"] == k}, alone)
     return model
 
 
