@@ -41,6 +41,8 @@ PERCENT = 85
 BAND_RATIO = 1.38
 #: Bits of a block of the sketch.
 BLOCK_BITS = 1 << 16
+#: Texts whose sets a task holds at a time.
+TEXTS = 500
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -142,8 +144,15 @@ def _map(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of TEXTS rows at most, so that a task holds the sets of few texts at a time."""
     for b in batches:
+        for i in range(0, b.num_rows, TEXTS):
+            yield b.slice(i, TEXTS)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _slices(batches):
         sets = [shingle_set(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                                           pa.array([set_hash(s) for s in sets], pa.int64()), b.column(2)], ["id", "n", "h", "x"])
@@ -152,13 +161,13 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = lambda *cols: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["k", "h", "q"])
     seen: set[int] = set()         # copies in the same task give their keys once; forgetting them is harmless
-    for b in batches:
+    for b in _slices(batches):
         keys, nodes, needs, rows = [], [], [], 0
         for t in b.column(0).to_pylist():
             s = shingle_set(t)
             if not len(s) or (h := set_hash(s)) in seen:
                 continue
-            seen = seen if len(seen) < 1_000_000 else set()
+            seen = seen if len(seen) < 100_000 else set()
             seen.add(h)
             k, need = sketch_keys(s)
             keys.append(k.view(np.int64))
@@ -173,17 +182,15 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = b.column(1).to_pylist()
-        for i in range(0, len(texts), 500):
-            h, sets = b.column(0).slice(i, 500), [shingle_set(t) for t in texts[i:i + 500]]
-            own = pa.array([set_hash(s) == k for s, k in zip(sets, h.to_pylist(), strict=True)], pa.bool_())   # not another text under that id
-            yield pa.RecordBatch.from_arrays([h, pa.array([s.tobytes() for s in sets], pa.binary())], ["h", "set"]).filter(own)
+    for b in _slices(batches):
+        h, sets = b.column(0), [shingle_set(t) for t in b.column(1).to_pylist()]
+        own = pa.array([set_hash(s) == k for s, k in zip(sets, h.to_pylist(), strict=True)], pa.bool_())   # not another text under that id
+        yield pa.RecordBatch.from_arrays([h, pa.array([s.tobytes() for s in sets], pa.binary())], ["h", "set"]).filter(own)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, set of a, set of b) -> a, b, the size of the symmetric difference, and whether they link."""
-    for batch in batches:
+    for batch in _slices(batches):
         x, y, apart, linked = batch.column(2), batch.column(3), [], []
         for i in range(batch.num_rows):
             p, q = np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)
